@@ -20,8 +20,8 @@ from tapeloom.session import at_most
 
 MODES = ("exact", "compat", "by_trade_id")
 
-# Notification keys are broadcast up to this many rows (about 50 bytes each).
-BROADCAST_KEYS = 200_000
+# Keys are broadcast up to this many rows (under 100 bytes each).
+BROADCAST_KEYS = 500_000
 
 
 def notification_keys(trades: DataFrame) -> DataFrame:
@@ -240,14 +240,20 @@ def match_notifications(trades: DataFrame, notifications: DataFrame, mode: str =
     raise ValueError(f"unknown mode: {mode}")
 
 
-def flag_matched(trades: DataFrame, matches: DataFrame) -> DataFrame:
-    """Trades plus `triggered_notification`, from the output of `match_notifications`."""
+def flag_matched(trades: DataFrame, matches: DataFrame, stored: bool = False) -> DataFrame:
+    """Trades plus `triggered_notification`, from the output of `match_notifications`.
+
+    With `stored` matches (read from files) their number is checked first, and few enough
+    are broadcast, which spares the shuffle of the whole tape.
+    """
     taken = (
         matches.where(F.col("order_key").isNotNull())
         .select("symbol", "event_time", "order_key")
         .distinct()
         .withColumn("taken", F.lit(True))
     )
+    if stored and at_most(taken, BROADCAST_KEYS):
+        taken = F.broadcast(taken)
     keyed = trades.withColumn("order_key", ordering.first_key("trade_time", "aggregate_id"))
     return keyed.join(taken, ["symbol", "event_time", "order_key"], "left").select(
         *trades.columns, F.coalesce("taken", F.lit(False)).alias("triggered_notification")

@@ -791,10 +791,8 @@ def _(spark, sf):
         F.col("trade_id").cast("bigint") % 5 == 0,
         F.replace("event_time", F.lit(":00:00Z"), F.lit(":30:00Z")),
     ).otherwise(F.col("event_time"))
-    hot.append(lifecycle.TRADES, tape.trades(spark, sf), "a")
-    hot.append(
-        lifecycle.NOTIFICATIONS, tape.notifications(spark, sf).withColumn("event_time", stray), "a"
-    )
+    notices = tape.notifications(spark, sf).withColumn("event_time", stray)
+    hot.append("a", {lifecycle.TRADES: tape.trades(spark, sf), lifecycle.NOTIFICATIONS: notices})
     lifecycle.drain(hot, paths, "run-1")
     runs = lifecycle.committed_runs(hot)
     done = lake.read_curated(spark, paths.curated, runs)
@@ -821,7 +819,8 @@ def _(spark, sf):
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = tape.events(spark, sf).schema
-    return spark.readStream.schema(schema).parquet(f"{sf}/events.parquet")
+    # A plain stream path must be a folder; a pattern also takes a table that is one file.
+    return spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
 
 
 @query("stream_fan_out", _COPIES)

@@ -8,9 +8,10 @@ commit at the end; rows are then in the lake and out of the hot store, never nei
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,11 +20,13 @@ from tapeloom.operators import filters, matching, purge
 from tapeloom.operators.curate import curated, processed
 from tapeloom.operators.rollup import GRAINS, minute_state, publish
 from tapeloom.sources import envelopes, lake
-from tapeloom.sources.hot import HotStore
+from tapeloom.sources.hot import LOG, HotStore
 
 TRADES = schemas.TRADE_EVENT
 NOTIFICATIONS = schemas.NOTIFICATION_EVENT
 
+Rewrite = Callable[[DataFrame], DataFrame]
+
 
 @dataclass(frozen=True)
 class LakePaths:
@@ -131,7 +134,7 @@ def archive_and_purge(
     lake.archive_raw_trades(trades, paths.raw_trades, run)
     lake.archive_raw_notifications(met, paths.raw_notifications, run)
 
-    flagged = matching.flag_matched(trades, matches)
+    flagged = matching.flag_matched(trades, matches, stored=True)
     lake.write_curated(curated(processed(flagged)), paths.curated, run)
     tape = processed(flagged, keep=("aggregate_id",))
     write_rollups(minute_state(tape, wide_ids), paths.analytics, run, wide_ids)
@@ -186,22 +189,22 @@ def drain(
 
 
 def drain_periodically(
-    spark: SparkSession,
-    arrivals: str,
-    checkpoint: str,
     hot: HotStore,
     paths: LakePaths,
+    checkpoint: str,
     every: str | None = None,
     **options: object,
 ) -> StreamingQuery:
-    """Drain now and then every `every` (e.g. "60 minutes") while trades arrive.
+    """Drain now and then every `every` (e.g. "60 minutes") while events arrive.
 
-    `arrivals` is the hot log: a new record means there may be something to drain. Without
-    `every` all that is due is drained once, for an external scheduler.
+    The stream is the hot log: a new record means there may be something to drain. Without
+    `every` what is due is drained once, for an external scheduler.
     """
-    log = spark.readStream.schema("run string, table string, segment string, action string").json(
-        arrivals
-    )
+    spark = hot.spark
+    if not hot.log():
+        # The stream needs the log's folder to exist.
+        hot.commit([("", "", "", "open")])
+    log = spark.readStream.schema(LOG).json(f"{hot.path}/log")
 
     def drain_batch(records: DataFrame, batch: int) -> None:
         drain(hot, paths, run=f"batch-{batch:012d}", **options)
@@ -210,3 +213,55 @@ def drain_periodically(
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
+
+
+# --- deletes and upkeep of the hot store -------------------------------------------------
+
+
+def _no_run_pending(hot: HotStore) -> None:
+    pending = pending_runs(hot)
+    if pending:
+        raise RuntimeError(f"finish these archive runs first: {pending}")
+
+
+def _rewrite(hot: HotStore, table: str, doomed: DataFrame, remove: Rewrite, run: str) -> int:
+    """Replace the segments that hold doomed rows by what `remove` leaves of them."""
+    _no_run_pending(hot)
+    hit = sorted(r["segment"] for r in doomed.select("segment").distinct().collect())
+    if hit:
+        hot.replace(table, hit, remove(hot.scan(table, hit)), f"rest-{run}", run)
+    return len(hit)
+
+
+def delete_trades(hot: HotStore, ids: DataFrame, run: str) -> int:
+    """Delete hot trades by `trade_id`; returns the number of rewritten segments."""
+    stored = hot.scan(TRADES, with_segment=True)
+    doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
+    return _rewrite(hot, TRADES, doomed, lambda rows: purge.purge_trades(rows, ids), run)
+
+
+def delete_notifications_by_trade_id(hot: HotStore, ids: DataFrame, run: str) -> int:
+    stored = hot.scan(NOTIFICATIONS, with_segment=True)
+    doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
+    return _rewrite(
+        hot, NOTIFICATIONS, doomed, lambda r: purge.purge_notifications_by_trade_id(r, ids), run
+    )
+
+
+def delete_notifications_by_key(hot: HotStore, keys: DataFrame, run: str) -> int:
+    """Delete hot notifications by (symbol, event_time, trade_id) keys with blank wildcards."""
+    _no_run_pending(hot)
+    segments = hot.live_segments(NOTIFICATIONS)
+    if segments:
+        left = purge.purge_notifications_by_key(hot.scan_notifications(segments), keys)
+        hot.replace(NOTIFICATIONS, segments, left, f"rest-{run}", run)
+    return len(segments)
+
+
+def compact(hot: HotStore, table: str, run: str) -> int:
+    """Merge the many small segments of streaming batches into one of well-sized files."""
+    _no_run_pending(hot)
+    segments = hot.live_segments(table)
+    if len(segments) > 1:
+        hot.replace(table, segments, hot.scan(table, segments).hint("rebalance"), f"merged-{run}", run)
+    return len(segments)

@@ -132,7 +132,7 @@ def rejects_of(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNotNull()).select("value", "reason")
 
 
-def _zero_filled(parsed: DataFrame) -> DataFrame:
+def zero_filled(parsed: DataFrame) -> DataFrame:
     """Every frame as a trade, absent or unreadable fields as zero values.
 
     An undecodable frame keeps only an id; a number that overflows drops the frame, as
@@ -181,7 +181,7 @@ def decode_frames(frames: DataFrame, on_bad_frame: str = "quarantine", value: st
     """
     parsed = parse_frames(frames, value)
     if on_bad_frame == "zero":
-        return _zero_filled(parsed)
+        return zero_filled(parsed)
     if on_bad_frame != "quarantine":
         raise ValueError(f"unknown on_bad_frame: {on_bad_frame}")
     return trades_of(parsed)

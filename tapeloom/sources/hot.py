@@ -8,17 +8,17 @@ its segment in the log and does nothing.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom import schemas
 
 TABLES = {schemas.TRADE_EVENT: schemas.TRADE, schemas.NOTIFICATION_EVENT: schemas.NOTIFICATION}
 
-_LOG = "run string, table string, segment string, action string"
+LOG = "run string, table string, segment string, action string"
 
 
 class HotStore:
@@ -31,20 +31,17 @@ class HotStore:
 
     def commit(self, records: Sequence[tuple[str, str, str, str]]) -> None:
         """Append (run, table, segment, action) records in one file."""
-        rows = self.spark.createDataFrame(list(records), _LOG)
+        rows = self.spark.createDataFrame(list(records), LOG)
         rows.coalesce(1).write.mode("append").json(f"{self.path}/log")
 
     def log(self) -> list[T.Row]:
         """The log: one record a segment and action, the size of a directory listing."""
-        self._ensure_log()
-        return self.spark.read.schema(_LOG).json(f"{self.path}/log").distinct().collect()
-
-    def _ensure_log(self) -> None:
-        # An empty append creates the folder, so that the first read finds it.
-        if not getattr(self, "_has_log", False):
-            empty = self.spark.createDataFrame([], _LOG)
-            empty.write.mode("append").json(f"{self.path}/log")
-            self._has_log = True
+        try:
+            return self.spark.read.schema(LOG).json(f"{self.path}/log").collect()
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return []
+            raise
 
     def live_segments(self, table: str) -> list[str]:
         records = [r for r in self.log() if r["table"] == table]
@@ -52,12 +49,17 @@ class HotStore:
         added = {r["segment"] for r in records if r["action"] == "add"}
         return sorted(added - removed)
 
-    def append(self, table: str, rows: DataFrame, segment: str, run: str = "") -> bool:
-        """Write a segment and log it; false if the log has it already."""
-        if any(r["table"] == table and r["segment"] == segment for r in self.log()):
+    def append(self, segment: str, tables: Mapping[str, DataFrame], run: str = "") -> bool:
+        """Write a segment of each table, then log them together; false if already logged.
+
+        One log record for all tables: a reader sees a batch's trades and notifications
+        both or not at all.
+        """
+        if any(r["segment"] == segment and r["action"] == "add" for r in self.log()):
             return False
-        self.write_segment(table, rows, segment)
-        self.commit([(run, table, segment, "add")])
+        for table, rows in tables.items():
+            self.write_segment(table, rows, segment)
+        self.commit([(run, table, segment, "add") for table in tables])
         return True
 
     def write_segment(self, table: str, rows: DataFrame, segment: str) -> None:
@@ -65,15 +67,16 @@ class HotStore:
         columns = TABLES[table].names
         rows.select(*columns).write.mode("overwrite").parquet(self._segment_path(table, segment))
 
-    def scan(self, table: str, segments: Sequence[str] | None = None) -> DataFrame:
-        """Rows of the live (or the given) segments."""
+    def scan(self, table: str, segments: Sequence[str] | None = None, with_segment: bool = False) -> DataFrame:
+        """Rows of the live (or the given) segments, optionally with their `segment`."""
         schema = TABLES[table]
+        if with_segment:
+            schema = T.StructType([*schema.fields, T.StructField("segment", T.StringType())])
         found = self.live_segments(table) if segments is None else list(segments)
         if not found:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(
-            *[self._segment_path(table, s) for s in found]
-        )
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/type={table}")
+        return reader.parquet(*[self._segment_path(table, s) for s in found])
 
     def scan_trades(self, segments: Sequence[str] | None = None) -> DataFrame:
         return self.scan(schemas.TRADE_EVENT, segments)
@@ -87,3 +90,15 @@ class HotStore:
         self.commit(
             [(run, table, segment, "add"), *[(run, table, s, "remove") for s in segments]]
         )
+
+    def vacuum(self) -> int:
+        """Delete the files of removed segments; returns how many segments are gone.
+
+        To be called when no reader is still on an older view of the store.
+        """
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        gone = 0
+        for r in {r for r in self.log() if r["action"] == "remove"}:
+            path = jvm.org.apache.hadoop.fs.Path(self._segment_path(r["table"], r["segment"]))
+            gone += bool(path.getFileSystem(conf).delete(path, True))
+        return gone

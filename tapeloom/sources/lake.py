@@ -30,7 +30,7 @@ _NOTIFICATION_START = '{"EventTime":'
 _WRITE_SETTINGS = {
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MILLIS",
     # A folder's rows share a shuffle partition, so more write tasks mean no more files.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
 }
 
 

@@ -26,10 +26,14 @@ def alert_table(path: str) -> AlertSink:
     return write
 
 
-def store_envelopes(received: DataFrame, hot: HotStore, segment: str) -> None:
-    """Append each event to the table named by its type."""
-    for table in (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT):
-        hot.append(table, envelopes.unwrap(received, table), segment)
+def hot_handler(hot: HotStore) -> Callable[[DataFrame, int], None]:
+    """Fan-out handler that appends each event to the hot table named by its type."""
+
+    def store(received: DataFrame, batch: int) -> None:
+        types = (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT)
+        hot.append(f"batch-{batch:012d}", {t: envelopes.unwrap(received, t) for t in types})
+
+    return store
 
 
 def _with_trigger(writer, every: str | None):
@@ -49,6 +53,9 @@ def start_ingest(
 ) -> StreamingQuery:
     """Frames (column `value`) to hot trades, alerts and hot notifications.
 
+    Store and alerts subscribe to every trade, so the decoded batch feeds both without a
+    detour through envelope text; `start_fan_out` serves envelopes of other producers.
+
     `dedup_within` drops a frame the feed delivers again within that time of arrival.
 
     Bounded by the source's rate options (maxFilesPerTrigger, maxBytesPerTrigger,
@@ -62,30 +69,15 @@ def start_ingest(
         # Four outputs read the decoded batch; kept on executors' disks, recomputed if lost.
         parsed = frames.parse_frames(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if on_bad_frame == "zero":
-                trades = frames.decode_frames(batch, "zero")
-            else:
-                trades = frames.trades_of(parsed)
-            published = envelopes.dedup_events(envelopes.wrap_trades(trades))
-            stored = envelopes.for_subscriber(published, schemas.STORE_SUBSCRIBER)
-            alerted = envelopes.unwrap(
-                envelopes.for_subscriber(published, schemas.ALERT_SUBSCRIBER), schemas.TRADE_EVENT
-            )
-            segment = f"batch-{batch_id:012d}"
-            hot.append(
-                schemas.TRADE_EVENT, envelopes.unwrap(stored, schemas.TRADE_EVENT), segment
-            )
-            notices = envelopes.wrap_notifications(alerts.build_notifications(alerted, threshold))
+            zero = on_bad_frame == "zero"
+            trades = frames.zero_filled(parsed) if zero else frames.trades_of(parsed)
+            notices = alerts.build_notifications(trades, threshold)
             hot.append(
-                schemas.NOTIFICATION_EVENT,
-                envelopes.unwrap(
-                    envelopes.for_subscriber(notices, schemas.STORE_SUBSCRIBER),
-                    schemas.NOTIFICATION_EVENT,
-                ),
-                segment,
+                f"batch-{batch_id:012d}",
+                {schemas.TRADE_EVENT: trades, schemas.NOTIFICATION_EVENT: notices},
             )
-            alert_sink(alerts.alert_messages(alerted, threshold), batch_id)
-            if quarantine and on_bad_frame == "quarantine":
+            alert_sink(alerts.alert_messages(trades, threshold), batch_id)
+            if quarantine and not zero:
                 frames.rejects_of(parsed).write.mode("overwrite").json(
                     f"{quarantine.rstrip('/')}/batch={batch_id}"
                 )
