@@ -177,10 +177,9 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     front = F.when(F.col("has_fraction_key"), F.col("next")).otherwise(F.col("first"))
     behind = F.when(F.col("has_fraction_key"), F.col("third")).otherwise(F.col("next"))
     groups = groups.withColumn("front", front).withColumn("behind", behind)
-    takers = (
-        groups.where("has_shared").groupBy("symbol", "second").agg(F.min("front").alias("shared_taker"))
-    )
-    groups = groups.join(takers, ["symbol", "second"], "left")
+    # At most one row per distinct event time of the second, however many trades there are.
+    of_second = Window.partitionBy("symbol", "second")
+    groups = groups.withColumn("shared_taker", F.min("front").over(of_second))
     got_shared = F.col("has_shared") & F.col("front").eqNullSafe(F.col("shared_taker"))
 
     def key(text: Column, taker: Column) -> Column:
