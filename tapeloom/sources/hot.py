@@ -76,7 +76,8 @@ class HotStore:
         if not found:
             return self.spark.createDataFrame([], schema)
         reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/type={table}")
-        return reader.parquet(*[self._segment_path(table, s) for s in found])
+        rows = reader.parquet(*[self._segment_path(table, s) for s in found])
+        return rows.select(*schema.names)
 
     def scan_trades(self, segments: Sequence[str] | None = None) -> DataFrame:
         return self.scan(schemas.TRADE_EVENT, segments)
