@@ -24,6 +24,11 @@ MODES = ("exact", "compat", "by_trade_id")
 BROADCAST_KEYS = 500_000
 
 
+# Texts exactly as a trade writes them: no trailing zeros, microseconds at most.
+_NANO_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,5}[1-9])?Z$"
+_LEGACY_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{0,5}[1-9])? \+0000 UTC$"
+
+
 def notification_keys(trades: DataFrame) -> DataFrame:
     """(trade_id, symbol, priority, event_time) candidate keys; equal texts collapse."""
     texts = F.array_distinct(
@@ -68,24 +73,19 @@ def lookup_first_notification(trades: DataFrame, notifications: DataFrame) -> Da
 
 
 def _stored_keys(notifications: DataFrame) -> DataFrame:
-    """Distinct notification keys as (symbol, layout, at).
+    """Distinct notification keys as (symbol, legacy, at).
 
     A text that is not in the exact layout a trade would write can never be met.
     """
-    keys = notifications.select("symbol", F.col("event_time").alias("text")).distinct()
-    standard = times.parse_rfc3339("text")
-    legacy = times.parse_legacy("text")
+    text = F.col("event_time")
     return (
-        keys.withColumn("standard", standard)
-        .withColumn("legacy", legacy)
-        .select(
+        notifications.select(
             "symbol",
-            F.when(F.col("text") == times.rfc3339_nano("standard"), "standard")
-            .when(F.col("text") == times.legacy_text("legacy"), "legacy")
-            .alias("layout"),
-            F.coalesce("standard", "legacy").alias("at"),
+            F.when(text.rlike(_LEGACY_TEXT), True).when(text.rlike(_NANO_TEXT), False).alias("legacy"),
+            F.replace(text, F.lit(times.LEGACY_SUFFIX), F.lit("Z")).try_cast("timestamp").alias("at"),
         )
-        .where(F.col("layout").isNotNull())
+        .where(F.col("legacy").isNotNull() & F.col("at").isNotNull())
+        .distinct()
     )
 
 
@@ -95,38 +95,28 @@ def _tape(trades: DataFrame) -> DataFrame:
     )
 
 
-def _only_keyed(tape: DataFrame, keys: DataFrame) -> DataFrame:
-    """Drop trades no key can meet, if the keys are few enough to broadcast.
-
-    Beyond the bound the tape is reduced per key first and meets the keys in a shuffle join.
-    """
-    keys = keys.distinct()
-    if at_most(keys, BROADCAST_KEYS):
-        return tape.join(F.broadcast(keys), keys.columns, "left_semi")
-    return tape
-
-
 def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     keys = (
         _stored_keys(notifications)
-        .where(F.col("layout") == "standard")
+        .where(~F.col("legacy"))
         .select("symbol", F.col("at").alias("event_time"))
     )
-    firsts = (
-        _only_keyed(_tape(trades), keys)
-        .groupBy("symbol", "event_time")
-        .agg(F.min("order_key").alias("order_key"))
-    )
-    return firsts.join(keys, ["symbol", "event_time"], "left_semi").select(
-        "symbol",
-        times.rfc3339_nano("event_time").alias("key_text"),
-        "event_time",
-        "order_key",
+    tape = _tape(trades)
+    few = at_most(keys, BROADCAST_KEYS)
+    if few:
+        # Drops the trades no key can meet before anything is shuffled.
+        tape = tape.join(F.broadcast(keys), ["symbol", "event_time"], "left_semi")
+    firsts = tape.groupBy("symbol", "event_time").agg(F.min("order_key").alias("order_key"))
+    if not few:
+        # Reduced to a row per key first; the join then has the same partitioning.
+        firsts = firsts.join(keys, ["symbol", "event_time"], "left_semi")
+    return firsts.select(
+        "symbol", times.rfc3339_nano("event_time").alias("key_text"), "event_time", "order_key"
     )
 
 
-def _second(ts: Column) -> Column:
-    return F.date_trunc("second", ts)
+def _second(name: str) -> Column:
+    return F.date_trunc("second", name)
 
 
 def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
@@ -140,38 +130,45 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     The legacy key goes to the next trade of the group that did not get the shared one.
     Three trades a group therefore decide everything.
     """
-    stored = _stored_keys(notifications).withColumn("second", _second(F.col("at")))
-    seconds = stored.select("symbol", "second").distinct()
-    tape = _tape(trades).withColumn("second", _second(F.col("event_time")))
-    tape = _only_keyed(tape, seconds)
+    stored = _stored_keys(notifications).withColumn("second", _second("at"))
+    few = at_most(stored, BROADCAST_KEYS)
+    # Times with a key, per second: at most two entries a distinct time.
+    keys = stored.groupBy("symbol", "second").agg(
+        F.collect_list(F.when(~F.col("legacy"), F.col("at"))).alias("standard_at"),
+        F.collect_list(F.when(F.col("legacy"), F.col("at"))).alias("legacy_at"),
+    )
+
+    def with_keys(df: DataFrame, keys: DataFrame) -> DataFrame:
+        own = F.array_contains("standard_at", F.col("event_time"))
+        return (
+            df.join(keys, ["symbol", "second"])
+            .withColumn("has_fraction_key", own & (F.col("event_time") != F.col("second")))
+            .withColumn("has_shared", F.array_contains("standard_at", F.col("second")))
+            .withColumn("has_legacy", F.array_contains("legacy_at", F.col("event_time")))
+            .where("has_fraction_key or has_shared or has_legacy")
+            .drop("standard_at", "legacy_at")
+        )
 
+    flags = ["has_fraction_key", "has_shared", "has_legacy"]
+    tape = _tape(trades).withColumn("second", _second("event_time"))
+    if few:
+        tape = with_keys(tape, F.broadcast(keys))
     order = Window.partitionBy("symbol", "event_time").orderBy("order_key")
     top = tape.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 3)
 
     def at_rank(n: int) -> Column:
         return F.max(F.when(F.col("rank") == n, F.col("order_key")))
 
+    carried = [F.bool_or(name).alias(name) for name in flags] if few else []
     groups = top.groupBy("symbol", "event_time").agg(
-        at_rank(1).alias("first"), at_rank(2).alias("next"), at_rank(3).alias("third")
-    )
-
-    own = stored.groupBy("symbol", F.col("at").alias("event_time")).agg(
-        F.bool_or(F.col("layout") == "standard").alias("has_own"),
-        F.bool_or(F.col("layout") == "legacy").alias("has_legacy"),
-    )
-    whole = (
-        stored.where((F.col("layout") == "standard") & (F.col("at") == F.col("second")))
-        .select("symbol", "second")
-        .withColumn("has_shared", F.lit(True))
-    )
-    groups = (
-        groups.withColumn("second", _second(F.col("event_time")))
-        .join(own, ["symbol", "event_time"], "left")
-        .join(whole, ["symbol", "second"], "left")
-        .fillna(False, ["has_own", "has_legacy", "has_shared"])
-        .where("has_own or has_legacy or has_shared")
-        .withColumn("has_fraction_key", F.col("has_own") & (F.col("event_time") != F.col("second")))
+        F.max("second").alias("second"),
+        at_rank(1).alias("first"),
+        at_rank(2).alias("next"),
+        at_rank(3).alias("third"),
+        *carried,
     )
+    if not few:
+        groups = with_keys(groups, keys)
 
     # Candidates for the shared key, and those behind them in the same group.
     front = F.when(F.col("has_fraction_key"), F.col("next")).otherwise(F.col("first"))
