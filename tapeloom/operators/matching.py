@@ -6,8 +6,8 @@ is one notification, and the first trade in trade-time order to ask for it consu
 
 No step gathers a key's trades in one place: `exact` needs the least trade per key, which
 is a partial aggregate; `compat` needs the three least, which is a group limit applied
-before the shuffle. A trade is identified by (symbol, event_time, order_key), so the join
-back to the tape spreads even a key that holds most rows.
+before the shuffle. A trade is identified by (symbol, event_time, trade_time,
+aggregate_id), so the join back to the tape spreads even a key that holds most rows.
 """
 
 from __future__ import annotations
@@ -24,6 +24,9 @@ MODES = ("exact", "compat", "by_trade_id")
 BROADCAST_KEYS = 500_000
 
 
+# What identifies a trade in the output of the matching.
+_TRADE_KEY = ["symbol", "event_time", "trade_time", "aggregate_id"]
+
 # Texts exactly as a trade writes them: no trailing zeros, microseconds at most.
 _NANO_TEXT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{0,5}[1-9])?Z$"
 _LEGACY_TEXT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{0,5}[1-9])? \+0000 UTC$"
@@ -89,29 +92,32 @@ def _stored_keys(notifications: DataFrame) -> DataFrame:
     )
 
 
-def _tape(trades: DataFrame) -> DataFrame:
-    return trades.select(
-        "symbol", "event_time", ordering.first_key("trade_time", "aggregate_id").alias("order_key")
-    )
-
-
 def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     keys = (
         _stored_keys(notifications)
         .where(~F.col("legacy"))
         .select("symbol", F.col("at").alias("event_time"))
     )
-    tape = _tape(trades)
+    tape = trades.select(*_TRADE_KEY)
     few = at_most(keys, BROADCAST_KEYS)
     if few:
         # Drops the trades no key can meet before anything is shuffled.
         tape = tape.join(F.broadcast(keys), ["symbol", "event_time"], "left_semi")
-    firsts = tape.groupBy("symbol", "event_time").agg(F.min("order_key").alias("order_key"))
+    firsts = tape.groupBy("symbol", "event_time").agg(
+        F.min("trade_time").alias("trade_time"),
+        F.min_by("aggregate_id", ordering.first_key("trade_time", "aggregate_id")).alias(
+            "aggregate_id"
+        ),
+    )
     if not few:
         # Reduced to a row per key first; the join then has the same partitioning.
         firsts = firsts.join(keys, ["symbol", "event_time"], "left_semi")
     return firsts.select(
-        "symbol", times.rfc3339_nano("event_time").alias("key_text"), "event_time", "order_key"
+        "symbol",
+        times.rfc3339_nano("event_time").alias("key_text"),
+        "event_time",
+        "trade_time",
+        "aggregate_id",
     )
 
 
@@ -150,29 +156,36 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
         )
 
     flags = ["has_fraction_key", "has_shared", "has_legacy"]
-    tape = _tape(trades).withColumn("second", _second("event_time"))
+    tape = trades.select(*_TRADE_KEY, _second("event_time").alias("second"))
     if few:
         tape = with_keys(tape, F.broadcast(keys))
-    order = Window.partitionBy("symbol", "event_time").orderBy("order_key")
+    order = Window.partitionBy("symbol", "event_time").orderBy("trade_time", "aggregate_id")
     top = tape.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= 3)
 
-    def at_rank(n: int) -> Column:
-        return F.max(F.when(F.col("rank") == n, F.col("order_key")))
-
+    # Time and id of the first three apart: fixed-width values keep the hash aggregate.
+    ranked = [
+        F.max(F.when(F.col("rank") == n, F.col(part))).alias(f"{part}_{n}")
+        for n in (1, 2, 3)
+        for part in ("trade_time", "aggregate_id")
+    ]
     carried = [F.bool_or(name).alias(name) for name in flags] if few else []
     groups = top.groupBy("symbol", "event_time").agg(
-        F.max("second").alias("second"),
-        at_rank(1).alias("first"),
-        at_rank(2).alias("next"),
-        at_rank(3).alias("third"),
-        *carried,
+        F.max("second").alias("second"), *ranked, *carried
     )
     if not few:
         groups = with_keys(groups, keys)
 
+    def at_rank(n: int) -> Column:
+        pair = F.struct(
+            F.col(f"trade_time_{n}").alias("trade_time"),
+            F.col(f"aggregate_id_{n}").alias("aggregate_id"),
+        )
+        return F.when(F.col(f"trade_time_{n}").isNotNull(), pair)
+
     # Candidates for the shared key, and those behind them in the same group.
-    front = F.when(F.col("has_fraction_key"), F.col("next")).otherwise(F.col("first"))
-    behind = F.when(F.col("has_fraction_key"), F.col("third")).otherwise(F.col("next"))
+    fraction = F.col("has_fraction_key")
+    front = F.when(fraction, at_rank(2)).otherwise(at_rank(1))
+    behind = F.when(fraction, at_rank(3)).otherwise(at_rank(2))
     groups = groups.withColumn("front", front).withColumn("behind", behind)
     # At most one row per distinct event time of the second, however many trades there are.
     of_second = Window.partitionBy("symbol", "second")
@@ -180,10 +193,10 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     got_shared = F.col("has_shared") & F.col("front").eqNullSafe(F.col("shared_taker"))
 
     def key(text: Column, taker: Column) -> Column:
-        return F.struct(text.alias("key_text"), taker.alias("order_key"))
+        return F.struct(text.alias("key_text"), taker.alias("taker"))
 
     found = F.array(
-        F.when(F.col("has_fraction_key"), key(times.rfc3339_nano("event_time"), F.col("first"))),
+        F.when(fraction, key(times.rfc3339_nano("event_time"), at_rank(1))),
         F.when(
             F.col("has_shared"),
             key(times.rfc3339_seconds("event_time"), F.when(got_shared, F.col("front"))),
@@ -199,32 +212,30 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     return (
         groups.select("symbol", "event_time", F.explode(found).alias("k"))
         .where(F.col("k").isNotNull())
-        .select("symbol", "k.key_text", "event_time", "k.order_key")
+        .select(
+            "symbol", "k.key_text", "event_time", "k.taker.trade_time", "k.taker.aggregate_id"
+        )
     )
 
 
 def _match_trade_id(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     keys = notifications.select("trade_id", F.col("event_time").alias("key_text")).distinct()
-    tape = trades.select(
-        "trade_id",
-        "symbol",
-        "event_time",
-        ordering.first_key("trade_time", "aggregate_id").alias("order_key"),
-    )
     if at_most(keys, BROADCAST_KEYS):
         keys = F.broadcast(keys)
-    return tape.join(keys, "trade_id").select(
-        "symbol", "key_text", "event_time", "order_key", "trade_id"
+    return (
+        trades.select("trade_id", *_TRADE_KEY)
+        .join(keys, "trade_id")
+        .select("symbol", "key_text", "event_time", "trade_time", "aggregate_id", "trade_id")
     )
 
 
 def match_notifications(trades: DataFrame, notifications: DataFrame, mode: str = "exact") -> DataFrame:
-    """(symbol, key_text, event_time, order_key): notification keys some trade can meet.
+    """(symbol, key_text, event_time, trade_time, aggregate_id): keys some trade can meet.
 
-    `event_time` and `order_key` identify the trade that consumes the key; a key that
-    could be met but was not consumed has a null `order_key` (`compat` only).
+    Trade time and aggregate id name the trade that consumes the key; a key that could be
+    met but was not consumed has nulls there (`compat` only).
     `exact` uses the first key text only, `compat` all three, `by_trade_id` the trade id,
-    which it adds as a fifth column.
+    which it adds as a column.
     Trades must be free of redelivered copies (`dedup_events`).
     """
     if mode == "exact":
@@ -243,19 +254,25 @@ def flag_matched(trades: DataFrame, matches: DataFrame, stored: bool = False) ->
     are broadcast, which spares the shuffle of the whole tape.
     """
     taken = (
-        matches.where(F.col("order_key").isNotNull())
-        .select("symbol", "event_time", "order_key")
+        matches.where(F.col("aggregate_id").isNotNull())
+        .select(*_TRADE_KEY)
         .distinct()
         .withColumn("taken", F.lit(True))
     )
     if stored and at_most(taken, BROADCAST_KEYS):
         taken = F.broadcast(taken)
-    keyed = trades.withColumn("order_key", ordering.first_key("trade_time", "aggregate_id"))
-    return keyed.join(taken, ["symbol", "event_time", "order_key"], "left").select(
+    return trades.join(taken, _TRADE_KEY, "left").select(
         *trades.columns, F.coalesce("taken", F.lit(False)).alias("triggered_notification")
     )
 
 
 def flag_trades(trades: DataFrame, notifications: DataFrame, mode: str = "exact") -> DataFrame:
     """Trades plus `triggered_notification`; every notification key is consumed once."""
+    if mode == "by_trade_id":
+        ids = notifications.select("trade_id").distinct().withColumn("taken", F.lit(True))
+        if at_most(ids, BROADCAST_KEYS):
+            ids = F.broadcast(ids)
+        return trades.join(ids, "trade_id", "left").select(
+            *trades.columns, F.coalesce("taken", F.lit(False)).alias("triggered_notification")
+        )
     return flag_matched(trades, match_notifications(trades, notifications, mode))
