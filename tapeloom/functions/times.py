@@ -13,7 +13,6 @@ LEGACY_PATTERN = "yyyy-MM-dd HH:mm:ss"
 LEGACY_SUFFIX = " +0000 UTC"
 
 _RFC3339 = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
-_LEGACY = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)? \+0000 UTC$"
 
 
 def _fraction(ts: Column) -> Column:
@@ -41,13 +40,5 @@ def parse_rfc3339(text: Column | str) -> Column:
     return F.when(text.rlike(_RFC3339), text.try_cast("timestamp"))
 
 
-def parse_legacy(text: Column | str) -> Column:
-    """Timestamp of a `yyyy-MM-dd HH:mm:ss[.f] +0000 UTC` text, null for anything else."""
-    text = as_col(text)
-    bare = F.expr("null").cast("string")
-    bare = F.when(text.rlike(_LEGACY), F.substring_index(text, " +", 1)).otherwise(bare)
-    return F.concat(bare, F.lit("Z")).try_cast("timestamp")
-
-
 def utc_date(ts: Column | str) -> Column:
     return F.date_format(as_col(ts), "yyyy-MM-dd")

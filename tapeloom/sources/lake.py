@@ -109,8 +109,8 @@ def _read_raw(
         # a brace is escaped, so the split cannot hit a value.
         cut = r"(?<=\})(?=" + start.replace("{", r"\{") + ")"
         lines = lines.select(F.explode(F.split("value", cut)).alias("value"))
-        # A whole file was one line, hence one row; spread its records.
-        lines = lines.repartition(F.xxhash64("value"))
+        # A whole file was one line, hence one row; spread its records evenly.
+        lines = lines.hint("rebalance")
     else:
         lines = _in_runs(spark.read.schema("value string, run string").text(path), runs)
     parsed = lines.select(F.explode(F.array(F.from_json("value", shape))).alias("r"))

@@ -98,13 +98,11 @@ def test_time_texts(spark, at, nano, seconds, legacy):
     assert one(spark, times.rfc3339_seconds(ts(at))) == seconds
     assert one(spark, times.legacy_text(ts(at))) == legacy
     assert one(spark, times.parse_rfc3339(F.lit(nano)) == ts(at))
-    assert one(spark, times.parse_legacy(F.lit(legacy)) == ts(at))
 
 
 def test_times_do_not_parse_other_layouts(spark):
     for text in ("2024-01-01", "2024-01-01 00:00:00", "x", ""):
         assert one(spark, times.parse_rfc3339(F.lit(text))) is None
-        assert one(spark, times.parse_legacy(F.lit(text))) is None
     assert one(spark, times.parse_rfc3339(F.lit("2024-01-01T02:00:00+02:00")) == ts("2024-01-01 00:00:00Z"))
 
 
