@@ -207,7 +207,8 @@ def drain_periodically(
     log = spark.readStream.schema(LOG).json(f"{hot.path}/log")
 
     def drain_batch(records: DataFrame, batch: int) -> None:
-        drain(hot, paths, run=f"batch-{batch:012d}", **options)
+        # A repeated batch needs no fixed run id: a broken run is on record in the hot log.
+        drain(hot, paths, **options)
 
     writer = log.where(F.col("action") == "add").writeStream.foreachBatch(drain_batch)
     writer = writer.option("checkpointLocation", checkpoint)
