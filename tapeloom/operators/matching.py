@@ -67,12 +67,8 @@ def first_per_key(notifications: DataFrame) -> DataFrame:
     )
 
 
-def lookup_first_notification(trades: DataFrame, notifications: DataFrame) -> DataFrame:
-    """At most one notification per candidate key of the trades."""
-    keys = distinct_keys(trades)
-    return first_per_key(notifications).join(keys, ["symbol", "event_time"], "left_semi").select(
-        *notifications.columns
-    )
+def _second(name: str) -> Column:
+    return F.date_trunc("second", name)
 
 
 def _stored_keys(notifications: DataFrame) -> DataFrame:
@@ -92,6 +88,20 @@ def _stored_keys(notifications: DataFrame) -> DataFrame:
     )
 
 
+def lookup_first_notification(trades: DataFrame, notifications: DataFrame) -> DataFrame:
+    """At most one notification per candidate key of the trades."""
+    seconds = _stored_keys(notifications).select("symbol", _second("at").alias("second")).distinct()
+    tape = trades.select("symbol", "event_time", _second("event_time").alias("second"))
+    if at_most(seconds, BROADCAST_KEYS):
+        # All texts of a trade lie in its second.
+        tape = tape.join(F.broadcast(seconds), ["symbol", "second"], "left_semi")
+    return (
+        first_per_key(notifications)
+        .join(distinct_keys(tape), ["symbol", "event_time"], "left_semi")
+        .select(*notifications.columns)
+    )
+
+
 def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     keys = (
         _stored_keys(notifications)
@@ -121,10 +131,6 @@ def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     )
 
 
-def _second(name: str) -> Column:
-    return F.date_trunc("second", name)
-
-
 def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     """Outcome of the greedy pass over all three keys, without the pass.
 
