@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, langid, tokenfile
+from tapeloom.llm import bpe, langid, near, paragraphs, quality, tokenfile
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
+    "op3_quality": quality.op3_quality,
     "op4_bpe": bpe.op4_bpe,
+    "op7_ngram_join": near.op7_ngram_join,
+    "op9_paragraph_dedup": paragraphs.op9_paragraph_dedup,
     "op10_tokenfile": tokenfile.op10_tokenfile,
 }
 
