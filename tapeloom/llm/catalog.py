@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, langid, near, paragraphs, quality, tokenfile
+from tapeloom.llm import bpe, langid, near, paragraphs, quality, substrings, tokenfile, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
+    "op2_substring_dedup": substrings.op2_substring_dedup,
     "op3_quality": quality.op3_quality,
     "op4_bpe": bpe.op4_bpe,
+    "op5_maxscore": topk.op5_maxscore,
     "op7_ngram_join": near.op7_ngram_join,
     "op9_paragraph_dedup": paragraphs.op9_paragraph_dedup,
     "op10_tokenfile": tokenfile.op10_tokenfile,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op5_maxscore": topk.ORACLE}
