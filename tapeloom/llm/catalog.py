@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, langid, near, paragraphs, quality, substrings, tokenfile, topk
+from tapeloom.llm import bpe, decontaminate, htmltext, langid, near, paragraphs, quality, substrings, tokenfile, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -14,7 +14,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": quality.op3_quality,
     "op4_bpe": bpe.op4_bpe,
     "op5_maxscore": topk.op5_maxscore,
+    "op6_html": htmltext.op6_html,
     "op7_ngram_join": near.op7_ngram_join,
+    "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_paragraph_dedup": paragraphs.op9_paragraph_dedup,
     "op10_tokenfile": tokenfile.op10_tokenfile,
 }
