@@ -17,6 +17,7 @@ import json
 import re
 import struct
 import sys
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -35,6 +36,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 LEAF = 512
 LONG_CHARS = 1 << 20
+#: Below this code point all engines agree, from CHARTED on no character is looked at.
+FAMILIAR, CHARTED = 0x530, 0x32400
 NO_SPECIALS: frozenset[str] = frozenset()
 
 
@@ -80,6 +83,7 @@ class Codec:
                 for token in spec["added_tokens"]
             )
         )
+        self._foreign: re.Pattern | None = None
         if not self.byte_level:
             return
         symbols = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
@@ -136,8 +140,30 @@ class Codec:
         raw = text.encode()
         return self.merge(raw) if len(raw) <= self.leaf else self.tree(raw)
 
+    def foreign(self) -> re.Pattern:
+        """Characters that the library's tables of letters and numbers may see differently.
+
+        The library knows an older Unicode than the pattern's engines; texts with a character
+        that it classes otherwise, or that is not yet assigned here, are left to the library.
+        """
+        if self._foreign is None:
+            out = [chr(p) for p in range(0xD800, 0xE000)]
+            for start in range(FAMILIAR, CHARTED, 4096):
+                points = [p for p in range(start, min(start + 4096, CHARTED)) if not 0xD800 <= p < 0xE000]
+                text = "".join(f"a{chr(p)}x1{chr(p)}x.{chr(p)}x" for p in points)
+                begins = np.zeros(len(text) + 1, dtype=bool)
+                begins[[span[0] for _, span in self.library.pre_tokenizer.pre_tokenize_str(text)]] = True
+                ours = np.zeros(len(text) + 1, dtype=bool)
+                ours[np.cumsum([0, *map(len, self.pieces(text))])] = True
+                odd = (begins[:-1] != ours[:-1]).reshape(-1, 9).any(axis=1)
+                out += [chr(p) for p, o in zip(points, odd) if o or unicodedata.category(chr(p)) == "Cn"]
+            self._foreign = re.compile("[" + "".join(map(re.escape, out)) + chr(CHARTED) + "-\U0010ffff]")
+        return self._foreign
+
     def ordinary(self, text: str) -> bytes:
         """Packed ids of a text without added tokens."""
+        if max(text) >= chr(FAMILIAR) and self.foreign().search(text):
+            return pack(self.library.encode(text, add_special_tokens=False).ids)
         if self.quick and not unbroken(text, self.leaf):
             return bytes(self.buffer(text, NO_SPECIALS))
         return pack([i for piece in self.pieces(text) for i in self.piece(piece)])
@@ -176,6 +202,9 @@ class Codec:
         A stretch ends before a blank that stands between two non-blanks, or, inside an
         unbroken run, at a border between pre-tokens.
         """
+        if max(text) >= chr(FAMILIAR) and self.foreign().search(text):
+            yield 0, -1, b"", text
+            return
         seq, parts = 0, [text]
         if self.split_added is not None and any(token in text for token in self.added):
             parts = re.split(f"({self.split_added.pattern})", text)

@@ -242,11 +242,14 @@ def calibrated(model: Model, texts: list[str], langs: list[str]) -> Model:
     model.limits = np.full((len(model.edges) + 1, len(model.languages)), np.inf)
     mine = entropy[np.arange(len(own)), own]
     right = entropy.argmin(axis=1) == own
+    # A length or language with few rows takes the limit of its length, or of all rows.
     for b in range(len(model.edges) + 1):
         for g in range(len(model.languages)):
-            seen = mine[(bucket == b) & (own == g) & right]
-            if len(seen) >= 20:
-                model.limits[b, g] = np.quantile(seen, 1 - REJECT_SHARE) + seen.std()
+            for rows in ((bucket == b) & (own == g), bucket == b, bucket >= 0):
+                seen = mine[rows & right]
+                if len(seen) >= 20:
+                    model.limits[b, g] = np.quantile(seen, 1 - REJECT_SHARE) + seen.std()
+                    break
     return model
 
 
