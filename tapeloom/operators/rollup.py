@@ -43,26 +43,52 @@ def _ends(first: Column, last: Column) -> list[Column]:
     ]
 
 
-def minute_state(trades: DataFrame, wide_ids: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+def minute_state(trades: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Mergeable state per (symbol, minute) of trades with `triggered_notification`.
 
-    First / last order by (trade_time, aggregate_id) to the microsecond. Ids up to 2^37-1
-    fit a long key; a larger one fails the job, and `wide_ids=True` takes any id at the
-    price of a decimal key. `by` adds grouping columns, e.g. a run id.
+    First / last order by (trade_time, aggregate_id) to the microsecond, for any id. The
+    tape itself is ordered by a long, per high part of the ids; those few rows a minute are
+    then merged like the states of several runs. `by` adds grouping columns, e.g. a run id.
     """
-    if wide_ids:
-        first = ordering.first_key("trade_time", "aggregate_id")
-        last = ordering.last_key("trade_time", "aggregate_id")
-    else:
-        first = ordering.minute_first_key("trade_time", "aggregate_id")
-        last = ordering.minute_last_key("trade_time", "aggregate_id")
-    return trades.groupBy(*by, "symbol", bucket("minute")).agg(*_measures(), *_ends(first, last))
+    first = ordering.minute_first_key("trade_time", "aggregate_id")
+    last = ordering.minute_last_key("trade_time", "aggregate_id")
+    high = ordering.id_high("aggregate_id").alias("id_high")
+    parts = trades.groupBy(*by, "symbol", bucket("minute"), high).agg(
+        *_measures(), *_ends(first, last)
+    )
+    return merge_states(
+        parts.select(
+            *by,
+            "symbol",
+            "minute_start",
+            *_SUMMED,
+            ordering.key_time("first_key", "minute_start").alias("first_time"),
+            ordering.key_id("first_key", "id_high").alias("first_id"),
+            "first_price",
+            ordering.key_time("last_key", "minute_start").alias("last_time"),
+            ordering.key_id("last_key", "id_high", last=True).alias("last_id"),
+            "last_price",
+        ),
+        by,
+    )
+
+
+_SUMMED = [
+    "min_price",
+    "max_price",
+    "price_sum",
+    "volume",
+    "trade_count",
+    "notifications_triggered",
+]
 
 
 def merge_states(states: DataFrame | Iterable[DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
     """One state row per (symbol, minute) from the rows of any number of runs."""
     if not isinstance(states, DataFrame):
         states = reduce(DataFrame.unionByName, states)
+    first = ordering.first_order("first_time", "first_id")
+    last = ordering.last_order("last_time", "last_id")
     return states.groupBy(*by, "symbol", "minute_start").agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
@@ -70,10 +96,12 @@ def merge_states(states: DataFrame | Iterable[DataFrame], by: tuple[str, ...] =
         F.sum("volume").alias("volume"),
         F.sum("trade_count").alias("trade_count"),
         F.sum("notifications_triggered").alias("notifications_triggered"),
-        F.min("first_key").alias("first_key"),
-        F.min_by("first_price", "first_key").alias("first_price"),
-        F.max("last_key").alias("last_key"),
-        F.max_by("last_price", "last_key").alias("last_price"),
+        F.min("first_time").alias("first_time"),
+        F.min_by("first_id", first).alias("first_id"),
+        F.min_by("first_price", first).alias("first_price"),
+        F.max("last_time").alias("last_time"),
+        F.max_by("last_id", last).alias("last_id"),
+        F.max_by("last_price", last).alias("last_price"),
     )
 
 
@@ -113,17 +141,17 @@ def publish(state: DataFrame, grain: str, by: tuple[str, ...] = ()) -> DataFrame
     )
 
 
-def rollup(trades: DataFrame, grain: str, wide_ids: bool = False) -> DataFrame:
+def rollup(trades: DataFrame, grain: str) -> DataFrame:
     """Rollup of one grain straight from flagged trades.
 
     An hour or a day comes from the minute state, but never needs it stored.
     """
-    return publish(minute_state(trades, wide_ids), grain)
+    return publish(minute_state(trades), grain)
 
 
-def process(trades: DataFrame, wide_ids: bool = False) -> dict[str, DataFrame]:
+def process(trades: DataFrame) -> dict[str, DataFrame]:
     """All three grains."""
-    state = minute_state(trades, wide_ids)
+    state = minute_state(trades)
     return {grain: publish(state, grain) for grain in GRAINS}
 
 

@@ -143,16 +143,24 @@ def _(spark, sf):
 
 
 def _damaged_frames(spark: SparkSession, sf: str) -> DataFrame:
-    """Every frame, five in six damaged in a way that depends on the event id."""
+    """Every frame, most of them damaged in a way that depends on the event id.
+
+    Kinds 6 and 7 end in white space and are good frames.
+    """
     good = frames.encode_frames(tape.trades(spark, sf))
     frame, n = F.col("value"), F.regexp_extract("value", r'"a":(\d+)', 1)
-    kind = n.cast("bigint") % 6
+    kind = n.cast("bigint") % 11
     damaged = (
         F.when(kind == 1, F.concat(F.lit("not json "), n))
         .when(kind == 2, F.regexp_replace(frame, r'"p":"[^"]*"', '"p":"abc"'))
         .when(kind == 3, F.regexp_replace(frame, r'"p":"[^"]*"', '"p":"1e999"'))
         .when(kind == 4, F.regexp_replace(frame, r'"a":(\d+)', '"a":"$1"'))
         .when(kind == 5, frame.substr(F.lit(1), F.length(frame) - 3))
+        .when(kind == 6, F.concat(frame, F.lit("\n")))
+        .when(kind == 7, F.concat(frame, F.lit("\t ")))
+        .when(kind == 8, F.concat(frame, F.lit("}")))
+        .when(kind == 9, F.concat(frame, frame))
+        .when(kind == 10, F.regexp_replace(frame, r'"p":"([^"]*)"', '"p":$1'))
         .otherwise(frame)
     )
     return good.select(damaged.alias("value"))
@@ -161,8 +169,8 @@ def _damaged_frames(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "quarantine_frames",
     """select cast(event_id as bigint) as frame_number,
-  case event_id % 6 when 2 then 'bad_price' when 3 then 'not_finite' else 'undecodable' end as reason
-  from events where event_id % 6 <> 0""",
+  case event_id % 11 when 2 then 'bad_price' when 3 then 'not_finite' else 'undecodable' end as reason
+  from events where event_id % 11 not in (0, 6, 7)""",
 )
 def _(spark, sf):
     number = F.regexp_extract("value", r'(?:"a":"?|not json )(\d+)', 1).cast("bigint")
@@ -173,14 +181,14 @@ def _(spark, sf):
 @query(
     "zero_filled_frames",
     TRADES
-    + f""", kinds as (select *, aggregate_id % 6 as kind from trades)
-  select case when kind in (1, 4, 5) then '' else stream end as stream,
-         case when kind in (1, 4, 5) then '' else symbol end as symbol,
-         case when kind in (1, 4, 5) then '0001-01-01T00:00:00Z' else {_nano("event_time")} end as event_time,
-         case when kind in (1, 4, 5) then 0 else aggregate_id end as aggregate_id,
-         case when kind = 0 then price else 0.0 end as price,
-         case when kind in (1, 4, 5) then 0.0 else quantity end as quantity,
-         case when kind in (1, 4, 5) then false else is_buyer_maker end as is_buyer_maker
+    + f""", kinds as (select *, aggregate_id % 11 as kind from trades)
+  select case when kind in (1, 4, 5, 8, 9, 10) then '' else stream end as stream,
+         case when kind in (1, 4, 5, 8, 9, 10) then '' else symbol end as symbol,
+         case when kind in (1, 4, 5, 8, 9, 10) then '0001-01-01T00:00:00Z' else {_nano("event_time")} end as event_time,
+         case when kind in (1, 4, 5, 8, 9, 10) then 0 else aggregate_id end as aggregate_id,
+         case when kind in (0, 6, 7) then price else 0.0 end as price,
+         case when kind in (1, 4, 5, 8, 9, 10) then 0.0 else quantity end as quantity,
+         case when kind in (1, 4, 5, 8, 9, 10) then false else is_buyer_maker end as is_buyer_maker
   from kinds where kind <> 3""",
 )
 def _(spark, sf):
@@ -650,10 +658,39 @@ def _(spark, sf):
     return _rounded(rollup.rollup(trades, "daily"))
 
 
-@query("wide_id_rollup", _TIED + _rollup_sql("hourly"))
+# Ids on both sides of 2^37, negative ones, and the far ends of a long, in every hour.
+_FAR_IDS = """case aggregate_id % 5 when 0 then aggregate_id when 1 then 137438953472 - 20000 + aggregate_id
+  when 2 then -aggregate_id when 3 then 9223372036854775807 - aggregate_id
+  else -9223372036854775807 + aggregate_id end"""
+_FAR = (
+    "with " + _trades_sql(trade_time="date_trunc('hour', ts)")
+    + f", flagged as (select * replace ({_FAR_IDS} as aggregate_id), false as triggered_notification from trades)"
+)
+
+
+def _far_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return (
+        tape.tied_trades(spark, sf)
+        .withColumn("triggered_notification", F.lit(False))
+        .withColumn("aggregate_id", F.expr(_FAR_IDS))
+    )
+
+
+@query("far_id_runs", _FAR + _rollup_sql("hourly"))
 def _(spark, sf):
-    trades = tape.tied_trades(spark, sf).withColumn("triggered_notification", F.lit(False))
-    return _rounded(rollup.rollup(trades, "hourly", wide_ids=True))
+    """Three runs with ids of every size, merged from the lake."""
+    path = work_dir(spark, "far-ids")
+    rows = _far_ids(spark, sf)
+    for run in range(3):
+        part = rows.where(F.pmod("aggregate_id", F.lit(3)) == run)
+        lake.write_state(rollup.minute_state(part), path, f"run-{run}")
+    return _rounded(lake.read_merged_rollups(spark, path, "hourly"))
+
+
+@query("wide_id_rollup", _FAR + _rollup_sql("hourly"))
+def _(spark, sf):
+    trades = _far_ids(spark, sf)
+    return _rounded(rollup.rollup(trades, "hourly"))
 
 
 _ALL_GRAINS = FLAGGED + """ select grain, symbol, start, min_price, max_price, avg_price, volume, trade_count,

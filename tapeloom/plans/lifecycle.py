@@ -83,7 +83,6 @@ def archive_and_purge(
     max_rows: int | None = None,
     keep_notifications: str = "first",
     dedup: bool = False,
-    wide_ids: bool = False,
 ) -> bool:
     """Move the hot trades and their notifications to the lake; false if there are none.
 
@@ -137,7 +136,7 @@ def archive_and_purge(
     flagged = matching.flag_matched(trades, matches, stored=True)
     lake.write_curated(curated(processed(flagged)), paths.curated, run)
     tape = processed(flagged, keep=("aggregate_id",))
-    write_rollups(minute_state(tape, wide_ids), paths.analytics, run, wide_ids)
+    write_rollups(minute_state(tape), paths.analytics, run)
 
     rest = {NOTIFICATIONS: left} if segments[NOTIFICATIONS] else {}
     if max_rows:
@@ -152,10 +151,10 @@ def archive_and_purge(
     return True
 
 
-def write_rollups(state: DataFrame, path: str, run: str, wide_ids: bool = False) -> None:
+def write_rollups(state: DataFrame, path: str, run: str) -> None:
     """Write a run's minute state once, and the three grains from it."""
     lake.write_state(state, path, run)
-    stored = lake.read_state(state.sparkSession, path, [run], wide_ids)
+    stored = lake.read_state(state.sparkSession, path, [run])
     for grain in GRAINS:
         lake.write_rollup(publish(stored, grain), path, grain, run)
 

@@ -145,9 +145,11 @@ def rollup(grain: str) -> T.StructType:
     )
 
 
-def minute_state(key_type: T.DataType | None = None) -> T.StructType:
-    """Mergeable per-minute state, the source of every published rollup."""
-    key = key_type or T.LongType()
+def minute_state() -> T.StructType:
+    """Mergeable per-minute state, the source of every published rollup.
+
+    First and last trade carry their time (epoch micros) and id, so that states merge.
+    """
     return T.StructType(
         [
             T.StructField("symbol", T.StringType()),
@@ -158,9 +160,11 @@ def minute_state(key_type: T.DataType | None = None) -> T.StructType:
             T.StructField("volume", T.DoubleType()),
             T.StructField("trade_count", T.LongType()),
             T.StructField("notifications_triggered", T.LongType()),
-            T.StructField("first_key", key),
+            T.StructField("first_time", T.LongType()),
+            T.StructField("first_id", T.LongType()),
             T.StructField("first_price", T.DoubleType()),
-            T.StructField("last_key", key),
+            T.StructField("last_time", T.LongType()),
+            T.StructField("last_id", T.LongType()),
             T.StructField("last_price", T.DoubleType()),
         ]
     )

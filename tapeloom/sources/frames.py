@@ -91,6 +91,12 @@ def _reason() -> Column:
     )
 
 
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+# Objects in up to three levels once the strings are out; no brace follows the last one.
+_ONE_OBJECT = r"^\s*\{[^{}]*(?:\{[^{}]*(?:\{[^{}]*\}[^{}]*)*\}[^{}]*)*\}\s*$"
+_NUMBER_FOR_TEXT = r'"data"\s*:\s*\{[^{}]*"[pq]"\s*:\s*[-0-9]'
+
+
 def parse_frames(frames: DataFrame, value: str = "value") -> DataFrame:
     """Frame text, its fields, and `reason` (null for a good frame).
 
@@ -100,7 +106,10 @@ def parse_frames(frames: DataFrame, value: str = "value") -> DataFrame:
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "malformed"}
     text = F.col(value)
     parsed = F.from_json(text, schemas.FRAME_JSON, options).cast(schemas.FRAME_FIELDS)
-    cut = ~F.rtrim(text).endswith("}")
+    # The parser stops after the first value; a frame is one object and nothing else.
+    shape = F.regexp_replace(text, _STRING, "")
+    # Price and quantity are texts on the wire; with a number there the record is refused.
+    cut = ~shape.rlike(_ONE_OBJECT) | text.rlike(_NUMBER_FOR_TEXT)
     fields = (
         frames.select(text.alias("value"), F.inline(F.array(parsed)))
         .select("value", "stream", "data.*", F.when(cut, F.col("value")).otherwise(F.col("malformed")).alias("malformed"))

@@ -170,8 +170,8 @@ def write_state(state: DataFrame, path: str, run: str) -> None:
     _write(rows, f"{path.rstrip('/')}/state", ["date"], run, "parquet")
 
 
-def read_state(spark: SparkSession, path: str, runs: Sequence[str] | None = None, wide_ids: bool = False) -> DataFrame:
-    schema = schemas.minute_state(T.DecimalType(38, 0) if wide_ids else T.LongType())
+def read_state(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:
+    schema = schemas.minute_state()
     dated = T.StructType([*schema.fields, T.StructField("date", T.StringType())])
     return _in_runs(_parquet(spark, f"{path.rstrip('/')}/state", dated), runs)
 
@@ -188,11 +188,10 @@ def read_merged_rollups(
     path: str,
     grain: str,
     runs: Sequence[str] | None = None,
-    wide_ids: bool = False,
     where: Column | None = None,
 ) -> DataFrame:
     """One row per bucket over all runs; `where` (on symbol, date) prunes folders first."""
-    state = read_state(spark, path, runs, wide_ids)
+    state = read_state(spark, path, runs)
     if where is not None:
         state = state.where(where)
     return rollups.publish(rollups.merge_states(state), grain)

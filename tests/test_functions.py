@@ -142,7 +142,11 @@ def test_wide_key_takes_any_id(spark):
     assert got == sorted(rows)
 
 
-def test_narrow_key_refuses_what_does_not_fit(spark):
-    df = spark.createDataFrame([(2**37,)], "a bigint").withColumn("t", ts("2024-01-01 00:00:00Z"))
-    with pytest.raises(Exception, match="wide_ids"):
-        df.select(ordering.minute_first_key("t", "a")).collect()
+def test_minute_keys_give_back_time_and_id(spark):
+    ids = [0, 1, -1, 2**37 - 1, 2**37, -(2**37), 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(a,) for a in ids], "a bigint")
+    df = df.withColumn("t", F.timestamp_micros(F.lit(1_700_000_007_654_321)))
+    minute, high = F.date_trunc("minute", "t"), ordering.id_high("a")
+    for key, last in ((ordering.minute_first_key("t", "a"), False), (ordering.minute_last_key("t", "a"), True)):
+        got = df.select(ordering.key_time(key, minute).alias("us"), ordering.key_id(key, high, last).alias("id"), "a")
+        assert all(r.us == 1_700_000_007_654_321 and r.id == r.a for r in got.collect())

@@ -31,12 +31,11 @@ def test_ties(spark):
         ],
         flags=[1, 4],
     )
-    for wide in (False, True):
-        for grain in rollup.GRAINS:
-            row = rollup.rollup(df, grain, wide_ids=wide).first()
-            assert (row.first_price, row.last_price) == (10.0, 12.0)
-            assert (row.min_price, row.max_price, row.avg_price) == (10.0, 13.0, 11.5)
-            assert (row.volume, row.trade_count, row.notifications_triggered) == (4.0, 4, 2)
+    for grain in rollup.GRAINS:
+        row = rollup.rollup(df, grain).first()
+        assert (row.first_price, row.last_price) == (10.0, 12.0)
+        assert (row.min_price, row.max_price, row.avg_price) == (10.0, 13.0, 11.5)
+        assert (row.volume, row.trade_count, row.notifications_triggered) == (4.0, 4, 2)
 
 
 def test_columns(spark):
@@ -119,18 +118,24 @@ def test_merge_partials(spark):
 
 def test_hash_aggregates_only(spark, random_tape):
     df = flagged(spark, random_tape)
-    for wide in (False, True):
-        for grain in rollup.GRAINS:
-            plan = rollup.rollup(df, grain, wide)._jdf.queryExecution().executedPlan().toString()
-            assert "HashAggregate" in plan and "SortAggregate" not in plan
-
-
-def test_id_that_does_not_fit_fails_and_wide_takes_it(spark):
-    df = flagged(spark, [trade(1, aggregate_id=2**40, price=3.0), trade(2, price=5.0, trade_time=at(1))])
-    with pytest.raises(Exception, match="wide_ids"):
-        rollup.rollup(df, "minute").collect()
-    row = rollup.rollup(df, "minute", wide_ids=True).first()
-    assert (row.first_price, row.last_price) == (5.0, 5.0)
+    for grain in rollup.GRAINS:
+        plan = rollup.rollup(df, grain)._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_ids_of_any_size(spark):
+    """A later small id, an earlier large one, and ties between ids far apart."""
+    made = [
+        trade(1, aggregate_id=2**38, price=20.0, trade_time=at(30)),
+        trade(2, aggregate_id=7, price=10.0, trade_time=at(10)),
+        trade(3, aggregate_id=-(2**63), price=30.0, trade_time=at(30)),
+        trade(4, aggregate_id=2**63 - 1, price=5.0, trade_time=at(10)),
+    ]
+    row = rollup.rollup(flagged(spark, made), "minute").first()
+    assert (row.first_price, row.last_price) == (10.0, 30.0)
+    states = [rollup.minute_state(flagged(spark, [t])) for t in made]
+    row = rollup.publish(rollup.merge_states(states), "minute").first()
+    assert (row.first_price, row.last_price) == (10.0, 30.0)
 
 
 def test_curated(spark):
