@@ -63,16 +63,17 @@ def pending_runs(hot: HotStore) -> list[str]:
 
 
 def _claim(hot: HotStore, run: str) -> dict[str, list[str]]:
-    """Segments of this run: those it claimed before, else all that are live now."""
+    """Segments of this run: those it claimed before, else all live ones that no run holds."""
     mine = [r for r in hot.log() if r["run"] == run and r["action"] == "claim"]
+    found = [(r["run"], r["table"], r["segment"], "claim") for r in mine]
     if not mine:
-        found = {t: hot.live_segments(t) for t in (TRADES, NOTIFICATIONS)}
-        if found[TRADES]:
-            hot.commit([(run, t, s, "claim") for t, segments in found.items() for s in segments])
-        return found
-    return {
-        t: sorted(r["segment"] for r in mine if r["table"] == t) for t in (TRADES, NOTIFICATIONS)
-    }
+
+        def choose(log, held):
+            free = {t: [s for s in hot.live_segments(t, log) if (t, s) not in held] for t in (TRADES, NOTIFICATIONS)}
+            return [(run, t, s, "claim") for t, names in free.items() for s in names] if free[TRADES] else []
+
+        found = hot.claim(run, choose)
+    return {t: sorted(s for _, table, s, _ in found if table == t) for t in (TRADES, NOTIFICATIONS)}
 
 
 def archive_and_purge(
@@ -82,14 +83,16 @@ def archive_and_purge(
     mode: str = "exact",
     max_rows: int | None = None,
     keep_notifications: str = "first",
-    dedup: bool = False,
+    dedup: bool = True,
 ) -> bool:
     """Move the hot trades and their notifications to the lake; false if there are none.
 
-    `max_rows` takes only the oldest trades. `dedup` drops copies of an event, for a feed
-    that redelivers and an ingest that does not drop them on arrival. `keep_notifications="first"` archives one
+    `max_rows` takes only the oldest trades. `dedup` drops copies of an event, which an
+    at-least-once feed brings; without it a tape is taken as free of copies. `keep_notifications="first"` archives one
     notification per key, `"all"` every purged one. Notifications no trade of the run can
     meet stay hot. Repeating a finished run does nothing; repeating a broken one mends it.
+    The run writes beside the lake and moves its folders there at the end, so that readers
+    see finished runs only; what it needed on the way is then deleted.
     """
     if run in committed_runs(hot):
         return False
@@ -97,6 +100,7 @@ def archive_and_purge(
     if not segments[TRADES]:
         return False
     spark = hot.spark
+    aside = LakePaths(f"{paths.base.rstrip('/')}/unfinished")
 
     stored = trades = hot.scan_trades(segments[TRADES])
     notifications = hot.scan_notifications(segments[NOTIFICATIONS])
@@ -107,12 +111,12 @@ def archive_and_purge(
         trades = filters.oldest(trades, max_rows)
     if dedup or max_rows:
         # Four outputs read the run's trades; do the shuffle once.
-        staged = f"{paths.staged}/run={run}"
+        staged = f"{aside.staged}/run={run}"
         trades.write.mode("overwrite").parquet(staged)
         trades = spark.read.schema(schemas.TRADE).parquet(staged)
 
     # Small against the tape and read by three outputs: kept as files, not recomputed.
-    matches_path = f"{paths.matches}/run={run}"
+    matches_path = f"{aside.matches}/run={run}"
     matching.match_notifications(trades, notifications, mode).write.mode("overwrite").parquet(
         matches_path
     )
@@ -130,13 +134,13 @@ def archive_and_purge(
     if keep_notifications == "first":
         met = matching.first_per_key(met)
 
-    lake.archive_raw_trades(trades, paths.raw_trades, run)
-    lake.archive_raw_notifications(met, paths.raw_notifications, run)
+    lake.archive_raw_trades(trades, aside.raw_trades, run)
+    lake.archive_raw_notifications(met, aside.raw_notifications, run)
 
     flagged = matching.flag_matched(trades, matches, stored=True)
-    lake.write_curated(curated(processed(flagged)), paths.curated, run)
+    lake.write_curated(curated(processed(flagged)), aside.curated, run)
     tape = processed(flagged, keep=("aggregate_id",))
-    write_rollups(minute_state(tape), paths.analytics, run)
+    write_rollups(minute_state(tape), aside.analytics, run)
 
     rest = {NOTIFICATIONS: left} if segments[NOTIFICATIONS] else {}
     if max_rows:
@@ -146,8 +150,13 @@ def archive_and_purge(
         hot.write_segment(table, rows, f"rest-{run}")
         if not hot.scan(table, [f"rest-{run}"]).isEmpty():
             remaining.append((run, table, f"rest-{run}", "add"))
+    tables = [("raw_trades", ""), ("raw_notifications", ""), ("curated", "")]
+    for name, part in [*tables, *[("analytics", f"/{grain}") for grain in ("state", *GRAINS)]]:
+        lake.move_run(spark, getattr(aside, name) + part, getattr(paths, name) + part, run)
     gone = [(run, t, s, "remove") for t, found in segments.items() for s in found]
     hot.commit([*remaining, *gone, (run, "", "", "done")])
+    for folder in (aside.staged, aside.matches):
+        lake.delete_folder(spark, f"{folder}/run={run}")
     return True
 
 
@@ -218,50 +227,61 @@ def drain_periodically(
 # --- deletes and upkeep of the hot store -------------------------------------------------
 
 
-def _no_run_pending(hot: HotStore) -> None:
-    pending = pending_runs(hot)
-    if pending:
-        raise RuntimeError(f"finish these archive runs first: {pending}")
+def _rewrite(hot: HotStore, table: str, hit: list[str], remove: Rewrite, run: str, segment: str) -> int:
+    """Replace these segments by what `remove` leaves of them, out of the reach of other runs."""
+    if not hit:
+        return 0
+    hot.hold(run, table, hit)
+    try:
+        hot.replace(table, hit, remove(hot.scan(table, hit)), segment, run)
+    except BaseException:
+        # Nothing was swapped: the segments are free again.
+        hot.commit([(run, "", "", "done")])
+        raise
+    return len(hit)
 
 
-def _rewrite(hot: HotStore, table: str, doomed: DataFrame, remove: Rewrite, run: str) -> int:
-    """Replace the segments that hold doomed rows by what `remove` leaves of them."""
-    _no_run_pending(hot)
-    hit = sorted(r["segment"] for r in doomed.select("segment").distinct().collect())
-    if hit:
-        hot.replace(table, hit, remove(hot.scan(table, hit)), f"rest-{run}", run)
-    return len(hit)
+def _segments_with(doomed: DataFrame) -> list[str]:
+    return sorted(r["segment"] for r in doomed.select("segment").distinct().collect())
 
 
 def delete_trades(hot: HotStore, ids: DataFrame, run: str) -> int:
     """Delete hot trades by `trade_id`; returns the number of rewritten segments."""
     stored = hot.scan(TRADES, with_segment=True)
     doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
-    return _rewrite(hot, TRADES, doomed, lambda rows: purge.purge_trades(rows, ids), run)
+    return _rewrite(
+        hot, TRADES, _segments_with(doomed), lambda rows: purge.purge_trades(rows, ids), run, f"rest-{run}"
+    )
 
 
 def delete_notifications_by_trade_id(hot: HotStore, ids: DataFrame, run: str) -> int:
     stored = hot.scan(NOTIFICATIONS, with_segment=True)
     doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
     return _rewrite(
-        hot, NOTIFICATIONS, doomed, lambda r: purge.purge_notifications_by_trade_id(r, ids), run
+        hot,
+        NOTIFICATIONS,
+        _segments_with(doomed),
+        lambda rows: purge.purge_notifications_by_trade_id(rows, ids),
+        run,
+        f"rest-{run}",
     )
 
 
 def delete_notifications_by_key(hot: HotStore, keys: DataFrame, run: str) -> int:
     """Delete hot notifications by (symbol, event_time, trade_id) keys with blank wildcards."""
-    _no_run_pending(hot)
-    segments = hot.live_segments(NOTIFICATIONS)
-    if segments:
-        left = purge.purge_notifications_by_key(hot.scan_notifications(segments), keys)
-        hot.replace(NOTIFICATIONS, segments, left, f"rest-{run}", run)
-    return len(segments)
+    return _rewrite(
+        hot,
+        NOTIFICATIONS,
+        hot.live_segments(NOTIFICATIONS),
+        lambda rows: purge.purge_notifications_by_key(rows, keys),
+        run,
+        f"rest-{run}",
+    )
 
 
 def compact(hot: HotStore, table: str, run: str) -> int:
     """Merge the many small segments of streaming batches into one of well-sized files."""
-    _no_run_pending(hot)
     segments = hot.live_segments(table)
     if len(segments) > 1:
-        hot.replace(table, segments, hot.scan(table, segments).hint("rebalance"), f"merged-{run}", run)
+        _rewrite(hot, table, segments, lambda rows: rows.hint("rebalance"), run, f"merged-{run}")
     return len(segments)

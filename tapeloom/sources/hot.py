@@ -2,37 +2,118 @@
 
 Nothing is rewritten in place, so a reader never loses files under its feet: an append
 writes a new segment folder and then logs it, a delete logs the segment as removed. One
-log record is one file, so a commit is seen whole or not at all. A replayed append finds
-its segment in the log and does nothing.
+commit is one file of the log, written under a hidden name and renamed, so it is seen whole
+or not at all and never meets another commit. Who works on segments claims them first;
+claims are numbered, and of two that want the same number one has to look again. A
+replayed append finds its segment in the log and does nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+import threading
+import time
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tapeloom import schemas
 
-TABLES = {schemas.TRADE_EVENT: schemas.TRADE, schemas.NOTIFICATION_EVENT: schemas.NOTIFICATION}
+#: Events of other types, as whole envelopes, and payloads that could not be read.
+DOCUMENTS, REJECTS = "documents", "rejects"
+TABLES = {
+    schemas.TRADE_EVENT: schemas.TRADE,
+    schemas.NOTIFICATION_EVENT: schemas.NOTIFICATION,
+    DOCUMENTS: schemas.ENVELOPE,
+    REJECTS: schemas.ENVELOPE,
+}
 
 LOG = "run string, table string, segment string, action string"
+Record = tuple[str, str, str, str]
+
+# A rename that refuses to replace is atomic on a cluster's file system; on local disk it
+# looks first, so the threads of one process take turns.
+_renaming = threading.Lock()
 
 
 class HotStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        # Not the INT96 default: only plain timestamps have statistics a time filter can use.
+        spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
     def _segment_path(self, table: str, segment: str) -> str:
         return f"{self.path}/type={table}/segment={segment}"
 
-    def commit(self, records: Sequence[tuple[str, str, str, str]]) -> None:
-        """Append (run, table, segment, action) records in one file."""
-        rows = self.spark.createDataFrame(list(records), LOG)
-        rows.coalesce(1).write.mode("append").json(f"{self.path}/log")
+    def _file(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log/{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _write_new(self, name: str, records: Sequence[Record]) -> bool:
+        """A log file under a name nobody has taken; false if it is taken."""
+        fields = ("run", "table", "segment", "action")
+        text = "".join(json.dumps(dict(zip(fields, r))) + "\n" for r in records)
+        system, hidden = self._file(f"_{uuid.uuid4().hex}")
+        _, final = self._file(name)
+        out = system.create(hidden, False)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+        jvm = self.spark._jvm
+        kind = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
+        options = self.spark.sparkContext._gateway.new_array(kind, 1)
+        options[0] = kind.NONE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+            system.getUri(), self.spark._jsc.hadoopConfiguration()
+        )
+        with _renaming:
+            if system.exists(final):
+                system.delete(hidden, False)
+                return False
+            try:
+                context.rename(system.makeQualified(hidden), system.makeQualified(final), options)
+            except Py4JJavaError:
+                if not system.exists(final):
+                    raise
+                system.delete(hidden, False)
+                return False
+        return True
+
+    def commit(self, records: Sequence[Record]) -> None:
+        """Append (run, table, segment, action) records in one file of its own."""
+        while not self._write_new(f"{time.time_ns():020d}-{uuid.uuid4().hex}.json", records):
+            pass
+
+    def _claims(self) -> int:
+        system, folder = self._file("")
+        if not system.exists(folder):
+            return 0
+        return sum(f.getPath().getName().startswith("claim-") for f in system.listStatus(folder))
+
+    def claim(self, run: str, choose: Callable[[list[T.Row], set[tuple[str, str]]], Sequence[Record]]) -> list[Record]:
+        """Log what `choose` takes, unless another claim came in between: then choose again.
+
+        `choose` gets the log and the (table, segment) pairs that unfinished runs other than
+        this one hold. It may take nothing, or raise.
+        """
+        while True:
+            number = self._claims()
+            log = self.log()
+            done = {r["run"] for r in log if r["action"] == "done"}
+            held = {
+                (r["table"], r["segment"])
+                for r in log
+                if r["action"] in ("claim", "hold") and r["run"] not in done and r["run"] != run
+            }
+            records = list(choose(log, held))
+            if not records or self._write_new(f"claim-{number:012d}.json", records):
+                return records
 
     def log(self) -> list[T.Row]:
         """The log: one record a segment and action, the size of a directory listing."""
@@ -43,8 +124,8 @@ class HotStore:
                 return []
             raise
 
-    def live_segments(self, table: str) -> list[str]:
-        records = [r for r in self.log() if r["table"] == table]
+    def live_segments(self, table: str, log: Sequence[T.Row] | None = None) -> list[str]:
+        records = [r for r in (self.log() if log is None else log) if r["table"] == table]
         removed = {r["segment"] for r in records if r["action"] == "remove"}
         added = {r["segment"] for r in records if r["action"] == "add"}
         return sorted(added - removed)
@@ -65,7 +146,11 @@ class HotStore:
     def write_segment(self, table: str, rows: DataFrame, segment: str) -> None:
         """Write the files of a segment without logging it."""
         columns = TABLES[table].names
-        rows.select(*columns).write.mode("overwrite").parquet(self._segment_path(table, segment))
+        clustered = [c for c in ("symbol", "trade_time", "event_time") if c in columns]
+        out = rows.select(*columns)
+        if clustered:
+            out = out.sortWithinPartitions(*clustered)
+        out.write.mode("overwrite").parquet(self._segment_path(table, segment))
 
     def scan(self, table: str, segments: Sequence[str] | None = None, with_segment: bool = False) -> DataFrame:
         """Rows of the live (or the given) segments, optionally with their `segment`."""
@@ -86,11 +171,28 @@ class HotStore:
         return self.scan(schemas.NOTIFICATION_EVENT, segments)
 
     def replace(self, table: str, segments: Sequence[str], rows: DataFrame, segment: str, run: str = "") -> None:
-        """Swap live segments for one new segment, in one commit (delete, compaction)."""
+        """Swap live segments for one new segment, in one commit (delete, compaction).
+
+        The run is to hold the segments (`hold`), and is done with the commit.
+        """
         self.write_segment(table, rows, segment)
-        self.commit(
-            [(run, table, segment, "add"), *[(run, table, s, "remove") for s in segments]]
-        )
+        gone = [(run, table, s, "remove") for s in segments]
+        self.commit([(run, table, segment, "add"), *gone, (run, "", "", "done")])
+
+    def hold(self, run: str, table: str, segments: Sequence[str]) -> None:
+        """Keep other runs off these segments until the run is done; fails if one has them."""
+
+        def choose(log: list[T.Row], held: set[tuple[str, str]]) -> list[Record]:
+            taken = sorted(s for s in segments if (table, s) in held)
+            if taken:
+                runs = sorted({r["run"] for r in log if r["segment"] in taken and r["action"] in ("claim", "hold")})
+                raise RuntimeError(f"segments {taken} are in the hands of other runs: {runs}")
+            lost = sorted(set(segments) - set(self.live_segments(table, log)))
+            if lost:
+                raise RuntimeError(f"segments {lost} are gone")
+            return [(run, table, s, "hold") for s in segments]
+
+        self.claim(run, choose)
 
     def vacuum(self) -> int:
         """Delete the files of removed segments; returns how many segments are gone.

@@ -50,6 +50,41 @@ def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType())])).parquet(path)
 
 
+def _file(spark: SparkSession, path: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def move_run(spark: SparkSession, source: str, target: str, run: str) -> None:
+    """Move a run's folder into a table of the lake, in place of what it left there before."""
+    system, old = _file(spark, f"{source}/run={run}")
+    if not system.exists(old):
+        return
+    _, new = _file(spark, f"{target}/run={run}")
+    system.mkdirs(new.getParent())
+    system.delete(new, True)
+    if not system.rename(old, new):
+        raise OSError(f"cannot move {old.toString()} to {new.toString()}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, folder = _file(spark, path)
+    system.delete(folder, True)
+
+
+# Stands for the empty symbol in a folder's name, where Spark would make it a null.
+_EMPTY = "__empty__"
+
+
+def _to_folder(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("symbol", F.when(F.col("symbol") == "", _EMPTY).otherwise(F.col("symbol")))
+
+
+def _from_folder(rows: DataFrame) -> DataFrame:
+    """The symbol again; a filter on it still prunes folders, as it reads folder names only."""
+    return rows.withColumn("symbol", F.when(F.col("symbol") == _EMPTY, "").otherwise(F.col("symbol")))
+
+
 def partition_counts(rows: DataFrame, *keys: Column | str) -> DataFrame:
     """Rows per output partition."""
     return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
@@ -139,7 +174,7 @@ def read_raw_notifications(spark: SparkSession, path: str, legacy: bool = False,
 
 def write_curated(curated: DataFrame, path: str, run: str) -> None:
     """Snappy Parquet by symbol and date, each file in trade-time order."""
-    rows = curated.hint("rebalance", "symbol", "date").sortWithinPartitions(
+    rows = _to_folder(curated).hint("rebalance", "symbol", "date").sortWithinPartitions(
         "symbol", "date", "trade_time"
     )
     options = {"parquet.block.size": str(CURATED_ROW_GROUP), "compression": "snappy"}
@@ -148,7 +183,7 @@ def write_curated(curated: DataFrame, path: str, run: str) -> None:
 
 def read_curated(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:
     """Curated trades; filters on symbol and date prune folders."""
-    rows = _in_runs(_parquet(spark, path, schemas.CURATED), runs)
+    rows = _from_folder(_in_runs(_parquet(spark, path, schemas.CURATED), runs))
     return rows.select(*schemas.CURATED.names)
 
 
@@ -158,7 +193,8 @@ def read_curated(spark: SparkSession, path: str, runs: Sequence[str] | None = No
 def write_rollup(rows: DataFrame, path: str, grain: str, run: str) -> None:
     """One run's rows of one grain under `path/grain`, sorted by bucket start in each file."""
     name = schemas.GRAINS[grain][1]
-    rows = rows.hint("rebalance", "symbol", "date").sortWithinPartitions("symbol", "date", name)
+    rows = _to_folder(rows).hint("rebalance", "symbol", "date")
+    rows = rows.sortWithinPartitions("symbol", "date", name)
     options = {"parquet.block.size": str(ROLLUP_ROW_GROUP), "compression": "snappy"}
     _write(rows, f"{path.rstrip('/')}/{grain}", ["symbol", "date"], run, "parquet", **options)
 
@@ -179,7 +215,7 @@ def read_state(spark: SparkSession, path: str, runs: Sequence[str] | None = None
 def read_rollups(spark: SparkSession, path: str, grain: str, runs: Sequence[str] | None = None) -> DataFrame:
     """Published rows as written: a bucket has one row per run that touched it."""
     schema = schemas.rollup(grain)
-    rows = _in_runs(_parquet(spark, f"{path.rstrip('/')}/{grain}", schema), runs)
+    rows = _from_folder(_in_runs(_parquet(spark, f"{path.rstrip('/')}/{grain}", schema), runs))
     return rows.select(*schema.names)
 
 

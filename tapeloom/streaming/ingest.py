@@ -2,36 +2,68 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom import schemas
+from tapeloom.functions import ids
 from tapeloom.operators import alerts
 from tapeloom.sources import envelopes, frames
-from tapeloom.sources.hot import HotStore
+from tapeloom.sources.hot import DOCUMENTS, REJECTS, HotStore
 
-AlertSink = Callable[[DataFrame, int], None]
+AlertSink = Callable[[DataFrame, str], None]
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name that lives with the checkpoint: the same after a restart, no other stream's."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/stream-id")
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        out = system.create(path, False)
+        out.write(bytearray(uuid.uuid4().hex[:16].encode()))
+        out.close()
+    return spark.read.text(path.toString()).first()[0]
+
+
+def _label(stream: str, batch: int) -> str:
+    return f"{stream}-{batch:012d}"
 
 
 def alert_table(path: str) -> AlertSink:
-    """Default alert sink: one folder of messages per batch, overwritten on replay."""
+    """Default alert sink: a folder of messages per stream and batch, overwritten on replay."""
 
-    def write(messages: DataFrame, batch: int) -> None:
+    def write(messages: DataFrame, batch: str) -> None:
         messages.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch}")
 
     return write
 
 
-def hot_handler(hot: HotStore) -> Callable[[DataFrame, int], None]:
-    """Fan-out handler that appends each event to the hot table named by its type."""
+def hot_handler(
+    hot: HotStore, rejects: Callable[[DataFrame, str], None] | None = None
+) -> Callable[[DataFrame, str], None]:
+    """Fan-out handler that appends each event to the hot table named by its type.
 
-    def store(received: DataFrame, batch: int) -> None:
+    Payloads that cannot be read go to `rejects` with a reason, or, without it, to the hot
+    table of rejects; events of any other type go to the table of documents as they came.
+    """
+
+    def store(received: DataFrame, batch: str) -> None:
         types = (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT)
-        hot.append(f"batch-{batch:012d}", {t: envelopes.unwrap(received, t) for t in types})
+        tables = {t: envelopes.unwrap(received, t) for t in types}
+        known = F.coalesce(F.col("type").isin(*types), F.lit(False))
+        tables[DOCUMENTS] = received.where(~known)
+        bad = reduce(DataFrame.unionByName, [envelopes.unwrap_rejects(received, t) for t in types])
+        if rejects:
+            rejects(bad, batch)
+        else:
+            tables[REJECTS] = bad
+        hot.append(f"batch-{batch}", tables)
 
     return store
 
@@ -56,7 +88,7 @@ def start_ingest(
     Store and alerts subscribe to every trade, so the decoded batch feeds both without a
     detour through envelope text; `start_fan_out` serves envelopes of other producers.
 
-    `dedup_within` drops a frame the feed delivers again within that time of arrival.
+    `dedup_within` drops a trade the feed delivers again within that time of arrival.
 
     Bounded by the source's rate options (maxFilesPerTrigger, maxBytesPerTrigger,
     maxOffsetsPerTrigger). Ids derive from the frames and segments are named by batch, so
@@ -65,6 +97,8 @@ def start_ingest(
     `every` is the trigger interval; without it all available input is taken once.
     """
 
+    name = stream_id(hot.spark, checkpoint)
+
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         # Four outputs read the decoded batch; kept on executors' disks, recomputed if lost.
         parsed = frames.parse_frames(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -72,22 +106,26 @@ def start_ingest(
             zero = on_bad_frame == "zero"
             trades = frames.zero_filled(parsed) if zero else frames.trades_of(parsed)
             notices = alerts.build_notifications(trades, threshold)
+            label = _label(name, batch_id)
             hot.append(
-                f"batch-{batch_id:012d}",
+                f"batch-{label}",
                 {schemas.TRADE_EVENT: trades, schemas.NOTIFICATION_EVENT: notices},
             )
-            alert_sink(alerts.alert_messages(trades, threshold), batch_id)
+            alert_sink(alerts.alert_messages(trades, threshold), label)
             if quarantine and not zero:
                 frames.rejects_of(parsed).write.mode("overwrite").json(
-                    f"{quarantine.rstrip('/')}/batch={batch_id}"
+                    f"{quarantine.rstrip('/')}/batch={label}"
                 )
         finally:
             parsed.unpersist()
 
     if dedup_within:
+        # The id of the trade, whatever the spelling of its frame; a frame without one is its text.
+        stream = F.get_json_object("value", "$.stream")
+        number = F.get_json_object("value", "$.data.a").try_cast("bigint")
         keyed = source.select(
             "value",
-            F.sha2("value", 256).alias("frame_key"),
+            F.coalesce(ids.trade_id(stream, number), F.sha2("value", 256)).alias("frame_key"),
             F.current_timestamp().alias("arrived"),
         )
         source = dedup_stream(keyed, "frame_key", "arrived", dedup_within)
@@ -109,12 +147,16 @@ def start_hot_append(source: DataFrame, path: str, checkpoint: str, every: str |
 
 def start_fan_out(
     wire: DataFrame,
-    handlers: dict[str, Callable[[DataFrame, int], None]],
+    handlers: dict[str, Callable[[DataFrame, str], None]],
     checkpoint: str,
     every: str | None = None,
-    rejects: Callable[[DataFrame, int], None] | None = None,
+    rejects: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
-    """Envelope texts to one handler per subscriber; a failing handler repeats the batch."""
+    """Envelope texts to one handler per subscriber; a failing handler repeats the batch.
+
+    A handler gets a label of stream, subscriber and batch, the same when a batch is repeated.
+    """
+    name = stream_id(wire.sparkSession, checkpoint)
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = envelopes.parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -123,10 +165,10 @@ def start_fan_out(
             copies = envelopes.fan_out(readable.select(*schemas.ENVELOPE.names))
             for subscriber, handle in handlers.items():
                 mine = copies.where(F.col("subscriber") == subscriber).drop("subscriber")
-                handle(mine, batch_id)
+                handle(mine, _label(f"{name}-{subscriber}", batch_id))
             if rejects:
                 bad = parsed.where(F.col("malformed").isNotNull() | F.col("id").isNull())
-                rejects(bad.select("value"), batch_id)
+                rejects(bad.select("value"), _label(name, batch_id))
         finally:
             parsed.unpersist()
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tapeloom import schemas
 from tapeloom.operators import alerts, rollup
 from tapeloom.sources import envelopes, frames
-from tapeloom.sources.hot import HotStore
+from tapeloom.sources.hot import DOCUMENTS, REJECTS, HotStore
 from tapeloom.streaming import ingest
 from tapeloom.streaming import rollups as live
 
@@ -126,6 +126,32 @@ def test_fan_out_to_hot_and_rejects(spark, places):
     assert bad == [("junk",)]
 
 
+def test_two_streams_into_one_store(spark, places):
+    """Streams, and new checkpoints, do not take each other's batches for their own."""
+    hot = HotStore(spark, places["hot"])
+    for n, checkpoint in ((1, "cp"), (2, "cp2")):
+        folder = f"{places['in']}{n}"
+        write_frames(spark, folder, "1", [large(n), trade(n + 10)])
+        source = frames.read_frames(spark, folder, streaming=True)
+        sink = ingest.alert_table(places["alerts"])
+        ingest.start_ingest(source, hot, places[checkpoint], sink, places["bad"]).awaitTermination()
+    assert sorted(rows(hot.scan_trades(), "aggregate_id")) == [(1,), (2,), (11,), (12,)]
+    assert spark.read.parquet(places["alerts"]).count() == 2
+
+
+def test_hot_handler_drops_nothing(spark, places):
+    good = envelopes.wrap_trades(trades(spark, [trade(1)]), F.lit("-"))
+    damaged = good.withColumn("event_data", F.lit('{"Price":"x"}')).withColumn("id", F.lit("bad"))
+    other = good.withColumn("type", F.lit("Other")).withColumn("id", F.lit("other"))
+    envelopes.to_wire(good.unionByName(damaged).unionByName(other)).coalesce(1).write.text(places["in"])
+    hot = HotStore(spark, places["hot"])
+    handlers = {schemas.STORE_SUBSCRIBER: ingest.hot_handler(hot)}
+    ingest.start_fan_out(spark.readStream.text(places["in"]), handlers, places["cp"]).awaitTermination()
+    assert hot.scan_trades().count() == 1
+    assert rows(hot.scan(DOCUMENTS), "id", "type") == [("other", "Other")]
+    assert rows(hot.scan(REJECTS), "id") == [("bad",)]
+
+
 def test_hot_append_by_type(spark, places):
     write_frames(spark, places["in"], "1", [trade(1), trade(2)])
     stream = frames.decode_frames(frames.read_frames(spark, places["in"], streaming=True))
