@@ -102,7 +102,8 @@ def lookup_first_notification(trades: DataFrame, notifications: DataFrame) -> Da
     )
 
 
-def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
+def _match_exact(trades: DataFrame, notifications: DataFrame) -> tuple[DataFrame, bool]:
+    """The matches, and whether their number was found small: one trade a key at most."""
     keys = (
         _stored_keys(notifications)
         .where(~F.col("legacy"))
@@ -122,16 +123,17 @@ def _match_exact(trades: DataFrame, notifications: DataFrame) -> DataFrame:
     if not few:
         # Reduced to a row per key first; the join then has the same partitioning.
         firsts = firsts.join(keys, ["symbol", "event_time"], "left_semi")
-    return firsts.select(
+    found = firsts.select(
         "symbol",
         times.rfc3339_nano("event_time").alias("key_text"),
         "event_time",
         "trade_time",
         "aggregate_id",
     )
+    return found, few
 
 
-def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
+def _match_compat(trades: DataFrame, notifications: DataFrame) -> tuple[DataFrame, bool]:
     """Outcome of the greedy pass over all three keys, without the pass.
 
     Call the trades of one exact event time a group. The fraction key and the legacy key
@@ -215,13 +217,15 @@ def _match_compat(trades: DataFrame, notifications: DataFrame) -> DataFrame:
             ),
         ),
     )
-    return (
+    matches = (
         groups.select("symbol", "event_time", F.explode(found).alias("k"))
         .where(F.col("k").isNotNull())
         .select(
             "symbol", "k.key_text", "event_time", "k.taker.trade_time", "k.taker.aggregate_id"
         )
     )
+    # A key is consumed by one trade at most, so few keys mean few takers.
+    return matches, few
 
 
 def _match_trade_id(trades: DataFrame, notifications: DataFrame) -> DataFrame:
@@ -245,19 +249,19 @@ def match_notifications(trades: DataFrame, notifications: DataFrame, mode: str =
     Trades must be free of redelivered copies (`dedup_events`).
     """
     if mode == "exact":
-        return _match_exact(trades, notifications)
+        return _match_exact(trades, notifications)[0]
     if mode == "compat":
-        return _match_compat(trades, notifications)
+        return _match_compat(trades, notifications)[0]
     if mode == "by_trade_id":
         return _match_trade_id(trades, notifications)
     raise ValueError(f"unknown mode: {mode}")
 
 
-def flag_matched(trades: DataFrame, matches: DataFrame, stored: bool = False) -> DataFrame:
+def flag_matched(trades: DataFrame, matches: DataFrame, stored: bool = False, few: bool = False) -> DataFrame:
     """Trades plus `triggered_notification`, from the output of `match_notifications`.
 
-    With `stored` matches (read from files) their number is checked first, and few enough
-    are broadcast, which spares the shuffle of the whole tape.
+    Few enough matches are broadcast, which spares the shuffle of the whole tape: known to
+    be `few`, or `stored` (read from files), and then counted here.
     """
     taken = (
         matches.where(F.col("aggregate_id").isNotNull())
@@ -265,7 +269,7 @@ def flag_matched(trades: DataFrame, matches: DataFrame, stored: bool = False) ->
         .distinct()
         .withColumn("taken", F.lit(True))
     )
-    if stored and at_most(taken, BROADCAST_KEYS):
+    if few or (stored and at_most(taken, BROADCAST_KEYS)):
         taken = F.broadcast(taken)
     return trades.join(taken, _TRADE_KEY, "left").select(
         *trades.columns, F.coalesce("taken", F.lit(False)).alias("triggered_notification")
@@ -281,4 +285,8 @@ def flag_trades(trades: DataFrame, notifications: DataFrame, mode: str = "exact"
         return trades.join(ids, "trade_id", "left").select(
             *trades.columns, F.coalesce("taken", F.lit(False)).alias("triggered_notification")
         )
-    return flag_matched(trades, match_notifications(trades, notifications, mode))
+    if mode not in MODES:
+        raise ValueError(f"unknown mode: {mode}")
+    match = _match_exact if mode == "exact" else _match_compat
+    matches, few = match(trades, notifications)
+    return flag_matched(trades, matches, few=few)

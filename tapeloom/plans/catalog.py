@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -363,7 +364,14 @@ _notice_query(
     "regexp_matches(event_time, '-01-1|view', 'i') or regexp_matches(symbol, '-01-1|view', 'i')",
     NotificationFilter(regex="-01-1|view"),
 )
-_notice_query("notif_trade_id", "trade_id = '13'", NotificationFilter(trade_id="13"))
+@query(
+    "notif_trade_id",
+    NOTICES + " select * from notifications where trade_id = (select min(trade_id) from notifications)",
+)
+def _(spark, sf):
+    notices = tape.notifications(spark, sf)
+    least = notices.agg(F.min("trade_id")).first()[0]
+    return filters.find_notifications(notices, NotificationFilter(trade_id=least))
 
 
 @query(
@@ -851,6 +859,68 @@ def _(spark, sf):
     return result
 
 
+@query("archive_contents", TRADES + " select *, 'raw' as place from trades")
+def _(spark, sf):
+    """The trades themselves after three runs, as the raw archive has them."""
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    paths = lifecycle.LakePaths(work_dir(spark, "lake"))
+    trades = tape.trades(spark, sf)
+    for part in range(3):
+        hot.append(f"s{part}", {lifecycle.TRADES: trades.where(F.col("aggregate_id") % 3 == part)})
+        lifecycle.drain(hot, paths, f"run-{part}")
+    return lake.read_raw_trades(spark, paths.raw_trades).withColumn("place", F.lit("raw"))
+
+
+@query("flag_doubled_tape", FLAGGED + " select trade_id, triggered_notification from flagged")
+def _(spark, sf):
+    """Every trade delivered and stored twice: one copy stays, one is flagged."""
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    trades, notices = tape.trades(spark, sf), tape.notifications(spark, sf)
+    for segment in ("a", "b"):
+        hot.append(segment, {lifecycle.TRADES: trades, lifecycle.NOTIFICATIONS: notices})
+    once = envelopes.dedup_events(hot.scan_trades(), "trade_id")
+    flagged = matching.flag_trades(once, hot.scan_notifications())
+    return flagged.select("trade_id", "triggered_notification")
+
+
+def _hot_tape(spark: SparkSession, sf: str) -> HotStore:
+    """Trades and notifications in a hot store of several segments."""
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    trades, notices = tape.trades(spark, sf), tape.notifications(spark, sf)
+    number = F.col("trade_id").cast("bigint")
+    for part in range(3):
+        rows = {lifecycle.TRADES: trades, lifecycle.NOTIFICATIONS: notices}
+        hot.append(f"s{part}", {t: df.where(number % 3 == part) for t, df in rows.items()})
+    return hot
+
+
+@query(
+    "hot_trades_time_range",
+    TRADES + """ select * from trades where symbol = 'CLICKUSDT'
+  and trade_time >= timestamp '2024-01-05' and trade_time <= timestamp '2024-01-12'""",
+)
+def _(spark, sf):
+    start, end = (dt.datetime(2024, 1, n, tzinfo=dt.timezone.utc) for n in (5, 12))
+    wanted = TradeFilter(symbol="CLICKUSDT", trade_time=TimeRange(after=start, before=end))
+    return filters.find_trades(_hot_tape(spark, sf).scan_trades(), wanted)
+
+
+@query(
+    "hot_trades_top",
+    TRADES + " select * from trades where price > 100 order by price desc, trade_id limit 40",
+)
+def _(spark, sf):
+    order = {"sort1": SortKey("price", "DESC"), "sort2": SortKey("trade_id", "ASC")}
+    wanted = TradeFilter(price=NumericRange(gt=100), limit=40, **order)
+    return filters.find_trades(_hot_tape(spark, sf).scan_trades(), wanted)
+
+
+@query("hot_notifications_symbol", NOTICES + " select * from notifications where symbol = 'ERRORUSDT'")
+def _(spark, sf):
+    notices = _hot_tape(spark, sf).scan_notifications()
+    return filters.find_notifications(notices, NotificationFilter(symbol="ERRORUSDT"))
+
+
 # --- streaming -------------------------------------------------------------------------
 
 
@@ -924,6 +994,48 @@ def _(spark, sf):
     return spark.read.parquet(out).select("trade_id", "message")
 
 
+@query("stream_two_sources", _INGESTED + """ select 'trade' as what, trade_id from trades
+  union all select 'alert', trade_id from trades where price * quantity > 2000000""")
+def _(spark, sf):
+    """Two feeds into one hot store and one alert folder, the second on a checkpoint of its own."""
+    hot, out = HotStore(spark, work_dir(spark, "hot")), work_dir(spark, "alerts")
+    for part in (0, 1):
+        events = _event_stream(spark, sf).where(F.col("event_id") % 2 == part)
+        source = frames.encode_frames(tape.trades_from(events))
+        ingest.start_ingest(
+            source, hot, work_dir(spark, "checkpoint"), ingest.alert_table(out)
+        ).awaitTermination()
+    alerted = spark.read.parquet(out).select(F.lit("alert").alias("what"), "trade_id")
+    return hot.scan_trades().select(F.lit("trade").alias("what"), "trade_id").unionByName(alerted)
+
+
+@query(
+    "concurrent_ingest_and_drain",
+    _INGESTED + " select trade_id, symbol, price, quantity, date_trunc('millisecond', trade_time) as trade_time from trades",
+)
+def _(spark, sf):
+    """Feeds arrive while the store is drained: lake and store hold each trade once."""
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    paths, out = lifecycle.LakePaths(work_dir(spark, "lake")), work_dir(spark, "alerts")
+
+    def feed(part: int) -> None:
+        events = _event_stream(spark, sf).where(F.col("event_id") % 3 == part)
+        source = frames.encode_frames(tape.trades_from(events))
+        ingest.start_ingest(
+            source, hot, work_dir(spark, "checkpoint"), ingest.alert_table(out)
+        ).awaitTermination()
+
+    feed(0)
+    with ThreadPoolExecutor(2) as pool:
+        others = [pool.submit(feed, part) for part in (1, 2)]
+        lifecycle.drain(hot, paths)
+        for other in others:
+            other.result()
+    archived = lake.read_raw_trades(spark, paths.raw_trades)
+    both = archived.unionByName(hot.scan_trades())
+    return both.select("trade_id", "symbol", "price", "quantity", "trade_time")
+
+
 @query("stream_notifications", _INGESTED + " select * from notifications")
 def _(spark, sf):
     hot, _ = _ingest(spark, sf)
