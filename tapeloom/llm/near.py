@@ -34,7 +34,7 @@ def text_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarra
 
 
 def signed(rows: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
-    """(doc_id, text_key, item, signature) of every document; item 0 has no words."""
+    """(doc_id, text_key, item, shingles, signature) of every document; item 0 has no words."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -44,11 +44,13 @@ def signed(rows: DataFrame, size: int, bands: int, band_rows: int) -> DataFrame:
             values = hashing.minhashes(sets, counts, bands * band_rows)
             yield pa.record_batch(
                 [part.column("doc_id"), part.column("text_key"), pa.array(hashing.set_ids(sets, counts)),
-                 pa.array([v.tobytes() for v in values], pa.binary())],
-                names=["doc_id", "text_key", "item", "signature"],
+                 pa.array(counts), pa.array([v.tobytes() for v in values], pa.binary())],
+                names=["doc_id", "text_key", "item", "shingles", "signature"],
             )
 
-    return arrow_map(rows, of, f"doc_id {kind}, text_key bigint, item bigint, signature binary")
+    return arrow_map(
+        rows, of, f"doc_id {kind}, text_key bigint, item bigint, shingles bigint, signature binary"
+    )
 
 
 def banded(items: DataFrame, band_rows: int) -> DataFrame:
@@ -62,6 +64,18 @@ def banded(items: DataFrame, band_rows: int) -> DataFrame:
     return arrow_map(items.select("item", "signature"), of, "bucket bigint, item bigint")
 
 
+def sketched(items: DataFrame) -> DataFrame:
+    """(item, sketch): the lowest byte of each MinHash value."""
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        values = similar.fixed(batch.column("signature"), "<u4").astype(np.uint8)
+        yield pa.record_batch(
+            [batch.column("item"), pa.array([v.tobytes() for v in values], pa.binary())], names=["item", "sketch"]
+        )
+
+    return arrow_map(items.select("item", "signature"), of, "item bigint, sketch binary")
+
+
 def near_duplicates(
     docs: DataFrame,
     threshold: float = THRESHOLD,
@@ -87,11 +101,12 @@ def near_duplicates(
             F.count("*").alias("copies"),
             F.min("doc_id").alias("first_id"),
             F.min(F.struct("text_key", "doc_id")).alias("shown"),
+            F.first("shingles").alias("shingles"),
             F.first("signature").alias("signature"),
         ),
         "items",
     )
-    crowded = similar.buckets(banded(items, band_rows)).join(items.select("item", "signature"), "item")
+    crowded = similar.buckets(banded(items, band_rows)).join(sketched(items), "item")
     candidates = similar.components(
         similar.likely(crowded, bands * band_rows, threshold, tolerance)
     )
@@ -114,17 +129,19 @@ def near_duplicates(
 
 
 def with_sets(candidates: DataFrame, items: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """(component, item, members, copies, hashes): one document's set for each candidate item."""
-    sizes = candidates.groupBy("component").agg(F.count("*").alias("members"))
+    """(component, members, total, item, copies, hashes): one document's set per candidate item."""
+    named = candidates.join(items.select("item", "copies", "shown", "shingles"), "item")
+    sizes = named.groupBy("component").agg(F.count("*").alias("members"), F.sum("shingles").alias("total"))
     wanted = stored(
-        candidates.join(sizes, "component").join(items.select("item", "copies", "shown"), "item")
-        .select("component", "members", "item", "copies",
-                F.col("shown.text_key").alias("text_key"), F.col("shown.doc_id").alias("own_id")),
+        named.join(sizes, "component").select(
+            "component", "members", "total", "item", "copies",
+            F.col("shown.text_key").alias("text_key"), F.col("shown.doc_id").alias("own_id")),
         "wanted",
     )
-    texts = rows.join(
+    # One plan at every size: the texts are dealt by their hash.
+    texts = rows.hint("merge").join(
         wanted, (rows["text_key"] == wanted["text_key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])
-    ).select("component", "members", "item", "copies", "text")
+    ).select("component", "members", "total", "item", "copies", "text")
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start, end in chunks(batch, "text", BLOCK):
@@ -135,13 +152,14 @@ def with_sets(candidates: DataFrame, items: DataFrame, rows: DataFrame, size: in
             ends = np.cumsum(counts)
             raw = [sets[b - n : b].tobytes() for b, n in zip(ends.tolist(), counts.tolist())]
             yield pa.record_batch(
-                [*(part.column(c) for c in ("component", "members", "item", "copies")),
+                [*(part.column(c) for c in ("component", "members", "total", "item", "copies")),
                  pa.array(raw, pa.binary())],
-                names=["component", "members", "item", "copies", "hashes"],
+                names=["component", "members", "total", "item", "copies", "hashes"],
             ).filter(pa.array(own))
 
     return arrow_map(
-        texts, of, "component bigint, members bigint, item bigint, copies bigint, hashes binary"
+        texts, of,
+        "component bigint, members bigint, total bigint, item bigint, copies bigint, hashes binary",
     )
 
 

@@ -63,21 +63,23 @@ def signed(rows: DataFrame, size: int, min_words: int, bands: int, band_rows: in
 
 
 def with_sets(candidates: DataFrame, items: DataFrame, rows: DataFrame, size: int) -> DataFrame:
-    """(component, item, members, copies, hashes) of one paragraph of each candidate item."""
-    sizes = candidates.groupBy("component").agg(F.count("*").alias("members"))
-    named = candidates.join(sizes, "component").join(items.select("item", "first"), "item")
+    """(component, members, total, item, copies, hashes): one paragraph's set per candidate item."""
+    named = candidates.join(items.select("item", "first", "shingles"), "item")
+    sizes = named.groupBy("component").agg(F.count("*").alias("members"), F.sum("shingles").alias("total"))
+    named = named.join(sizes, "component")
     wanted = stored(
         named.groupBy(F.col("first.text_key").alias("text_key"), F.col("first.doc_id").alias("own_id"))
-        .agg(F.collect_list(F.struct(F.col("first.place").alias("place"), "item", "component", "members"))
+        .agg(F.collect_list(F.struct(F.col("first.place").alias("place"), "item", "component", "members", "total"))
              .alias("places")),
         "wanted",
     )
-    texts = rows.join(
+    # One plan at every size: the texts are dealt by their hash.
+    texts = rows.hint("merge").join(
         wanted, (rows["text_key"] == wanted["text_key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])
     ).select("text", "places")
     # The lines are picked out here, so that only they go to the workers.
     picked = texts.select(F.split("text", "\n").alias("lines"), F.explode("places").alias("p")).select(
-        F.element_at("lines", F.col("p.place") + 1).alias("line"), "p.item", "p.component", "p.members"
+        F.element_at("lines", F.col("p.place") + 1).alias("line"), "p.item", "p.component", "p.members", "p.total"
     )
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -89,13 +91,14 @@ def with_sets(candidates: DataFrame, items: DataFrame, rows: DataFrame, size: in
             ends = np.cumsum(n)
             raw = [sets[b - k : b].tobytes() for b, k in zip(ends.tolist(), n.tolist())]
             yield pa.record_batch(
-                [*(part.column(c) for c in ("component", "members", "item")),
+                [*(part.column(c) for c in ("component", "members", "total", "item")),
                  pa.array(np.ones(len(part), dtype=np.int64)), pa.array(raw, pa.binary())],
-                names=["component", "members", "item", "copies", "hashes"],
+                names=["component", "members", "total", "item", "copies", "hashes"],
             ).filter(pa.array(own))
 
     return arrow_map(
-        picked, of, "component bigint, members bigint, item bigint, copies bigint, hashes binary"
+        picked, of,
+        "component bigint, members bigint, total bigint, item bigint, copies bigint, hashes binary",
     )
 
 
@@ -163,7 +166,7 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col("doc_id").alias("_own_id"), F.col("text_key").alias("_own_key"), F.col("removed").alias("_removed")
     )
     text, number = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    joined = docs.join(
+    joined = docs.hint("merge").join(
         removed, (F.xxhash64(text) == F.col("_own_key")) & number.eqNullSafe(F.col("_own_id")), "left"
     ).drop("_own_id", "_own_key")
     return joined.withColumn(text_col, without_places(text, F.col("_removed")))

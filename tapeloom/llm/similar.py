@@ -14,13 +14,14 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom.llm.frames import stored
 
-#: Items per block on average; a group holds two blocks.
-BLOCK = 256
+#: Items per block on average, and hashes of their sets; a group holds two blocks.
+BLOCK = 1024
+BLOCK_HASHES = 1 << 20
 #: Pairs compared in one numpy call.
 PAIRS = 1 << 18
 
@@ -45,15 +46,14 @@ def least_matches(hashes: int, threshold: float, tolerance: float, step: int) ->
     return out
 
 
-def in_blocks(rows: DataFrame, key: str, item: str, size: str, block: int = BLOCK) -> DataFrame:
-    """Rows of a group of `size` items, once for each pair of blocks that the item's block is in.
+def in_blocks(rows: DataFrame, key: str, item: str, blocks: Column) -> DataFrame:
+    """Rows of a group cut into `blocks`, once for each pair of blocks that the item's block is in.
 
     `half` is 0 in the lower block of a pair and 1 in the upper one; the pair of a block with
     itself has half 0 only. `meet` is the hash that brings a pair of blocks together.
     """
-    blocks = F.ceil(F.col(size) / block).cast("int")
     own = F.pmod(F.xxhash64(F.lit(11), item), F.col("_blocks")).cast("int")
-    out = rows.withColumn("_blocks", blocks).withColumn("_own", own)
+    out = rows.withColumn("_blocks", F.ceil(blocks).cast("int")).withColumn("_own", own)
     out = out.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
     return (
@@ -113,18 +113,20 @@ def pairs_of(meet: np.ndarray, half: np.ndarray) -> Iterator[tuple[np.ndarray, n
     edges = edges_of(meet)
     for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
         border = start + int(np.searchsorted(half[start:end], 1))
-        if border == end:
-            a, b = np.triu_indices(end - start, 1)
-            a, b = a + start, b + start
-        else:
-            a = np.repeat(np.arange(start, border), end - border)
-            b = np.tile(np.arange(border, end), border - start)
-        left.append(a)
-        right.append(b)
-        total += len(a)
-        if total >= PAIRS:
-            yield np.concatenate(left), np.concatenate(right)
-            left, right, total = [], [], 0
+        width = max(1, PAIRS // (end - start))
+        for at in range(start, border, width):
+            stop = min(at + width, border)
+            first = at + 1 if border == end else border
+            a = np.repeat(np.arange(at, stop), end - first)
+            b = np.tile(np.arange(first, end), stop - at)
+            if border == end:
+                a, b = a[b > a], b[b > a]
+            left.append(a)
+            right.append(b)
+            total += len(a)
+            if total >= PAIRS:
+                yield np.concatenate(left), np.concatenate(right)
+                left, right, total = [], [], 0
     if total:
         yield np.concatenate(left), np.concatenate(right)
 
@@ -156,14 +158,16 @@ def buckets(bands: DataFrame) -> DataFrame:
 def likely(rows: DataFrame, hashes: int, threshold: float, tolerance: float, step: int = 8) -> DataFrame:
     """(item, root) over the pairs of a group whose MinHash values keep them likely enough.
 
-    `rows`: bucket, item, members, signature (32-bit MinHash values). Values are compared step
-    by step; a pair is dropped as soon as its posterior falls below the tolerance.
+    `rows`: bucket, item, members, sketch (the lowest byte of each MinHash value: unequal
+    values agree in it by chance once in 256 times, which only keeps a few pairs more). Values
+    are compared step by step; a pair is dropped as soon as its posterior falls below the
+    tolerance.
     """
     least = least_matches(hashes, threshold, tolerance, step)
 
     def prune(part: pa.Table) -> Iterator[pa.RecordBatch]:
         meet, half, items = (part.column(c).to_numpy() for c in ("meet", "half", "item"))
-        values = fixed(part.column("signature"), "<u4")
+        values = fixed(part.column("sketch"), "u1")
         for a, b in pairs_of(meet, half):
             matches = np.zeros(len(a), dtype=np.int64)
             for n in range(0, hashes, step):
@@ -177,7 +181,8 @@ def likely(rows: DataFrame, hashes: int, threshold: float, tolerance: float, ste
                 item, root = forest(items, a, b)
                 yield pa.record_batch([pa.array(item), pa.array(root)], names=["item", "root"])
 
-    dealt = in_blocks(rows, "bucket", "item", "members").select("meet", "half", "item", "signature")
+    blocks = F.col("members") / BLOCK
+    dealt = in_blocks(rows, "bucket", "item", blocks).select("meet", "half", "item", "sketch")
     return over_groups(dealt, prune, "item bigint, root bigint").distinct()
 
 
@@ -207,8 +212,8 @@ def shared_counts(sets: list[np.ndarray], border: int) -> np.ndarray:
 def exact(rows: DataFrame, threshold: float) -> DataFrame:
     """(item, links, root) from all pairs inside a component, by exact Jaccard of their sets.
 
-    `rows`: component, item, members, copies, hashes (64-bit, different, of one item). Links
-    count the copies of the other side. A row is what one group found of an item; sum over them.
+    `rows`: component, item, members, total (hashes of all members' sets), copies, hashes
+    (64-bit, different, of one item). Links count the copies of the other side. A row is what one group found of an item; sum over them.
     """
     ratio = Fraction(str(threshold))
 
@@ -249,7 +254,8 @@ def exact(rows: DataFrame, threshold: float) -> DataFrame:
                 names=["item", "links", "root"],
             )
 
-    dealt = in_blocks(rows, "component", "item", "members").select(
+    blocks = F.greatest(F.col("members") / BLOCK, F.col("total") / BLOCK_HASHES)
+    dealt = in_blocks(rows, "component", "item", blocks).select(
         "meet", "half", "item", "copies", "hashes"
     )
     return over_groups(dealt, verify, "item bigint, links bigint, root bigint")
