@@ -219,7 +219,8 @@ def repeated_spans(
         F.col("shown.text_key").alias("own_key"), F.col("shown.doc_id").alias("own_id")
     ).agg(F.collect_list(F.struct("kind", "key", "low", "high", F.col("shown.anchor").alias("anchor"))).alias("kinds"))
     wanted = stored(wanted, "wanted")
-    texts = rows.filter(F.octet_length("text") >= length).join(
+    # One plan at every size: the texts are dealt by their hash.
+    texts = rows.filter(F.octet_length("text") >= length).hint("merge").join(
         wanted, (rows["text_key"] == wanted["own_key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])
     ).select("text_key", "doc_id", "text", "kinds")
     # Rows that repeat would bring their blocks twice.
@@ -255,7 +256,7 @@ def without_repeats(
     spans = repeated_spans(docs, length, gram, id_col, text_col)
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    joined = rows.alias("r").join(
+    joined = rows.alias("r").hint("merge").join(
         spans.alias("s"),
         (F.col("r.text_key") == F.col("s.text_key")) & F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")),
         "left",
