@@ -6,8 +6,9 @@ import dataclasses
 import datetime as dt
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom import schemas
@@ -235,8 +236,31 @@ def public_notifications(notifications: DataFrame) -> DataFrame:
 
 
 def oldest(trades: DataFrame, n: int) -> DataFrame:
-    """The n oldest trades by trade time (ties by id)."""
-    return trades.orderBy("trade_time", "trade_id").limit(n)
+    """The n oldest trades by trade time (ties by id, null times first).
+
+    Rows are counted per hour, then per second of the hour the n-th falls in, then per time of
+    that second; what lies before is taken by a filter. Only trades of one single time are
+    ever ordered, and no task holds more than the counts of an hour.
+    """
+    micros = F.unix_micros("trade_time")
+    rest, left = trades, n
+    parts: list[DataFrame] = []
+    for unit in (3_600_000_000, 1_000_000, 1):
+        at = micros - F.pmod(micros, F.lit(unit))
+        upto = F.sum("rows").over(Window.orderBy(F.col("at").asc_nulls_first()))
+        counts = rest.groupBy(at.alias("at")).agg(F.count(F.lit(1)).alias("rows"))
+        reached = (
+            counts.withColumn("upto", upto).where(F.col("upto") >= left)
+            .orderBy("upto").select("at", "rows", "upto").first()
+        )
+        if reached is None:
+            return trades
+        if reached["at"] is not None:
+            parts.append(rest.where(micros.isNull() | (at < reached["at"])))
+        rest = rest.where(at.eqNullSafe(F.lit(reached["at"]).cast("bigint")))
+        left -= reached["upto"] - reached["rows"]
+    parts.append(rest.orderBy("trade_id").limit(left))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def has_more(trades: DataFrame) -> DataFrame:

@@ -140,6 +140,14 @@ def test_oldest(tape):
     assert ids(filters.oldest(tape, 2)) == [1, 2]
 
 
+def test_oldest_across_hours_seconds_and_ties(spark):
+    times = [None, at(0), at(0), at(0), at(0.5), at(0.5), at(1), at(3599), at(3600), at(3600), at(9000)]
+    made = [trade(n, trade_time=t) for n, t in enumerate(times)]
+    df = trades(spark, made[::-1])
+    for n in (0, 1, 3, 5, 6, 8, 9, 11, 20):
+        assert sorted(r.aggregate_id for r in filters.oldest(df, n).collect()) == list(range(min(n, len(made))))
+
+
 def test_alerts(spark):
     df = trades(
         spark,
