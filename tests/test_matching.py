@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tapeloom.operators import matching, purge
+from tapeloom.session import session_conf
 
 from helpers import T0, at, notice, notices, rows, trade, trades
 
@@ -75,6 +76,29 @@ def test_same_beyond_the_broadcast_bound(spark, monkeypatch):
     test_same_as_greedy(spark, "compat", 1)
 
 
+def test_ids_and_lookup_beyond_the_broadcast_bound(spark, monkeypatch):
+    tape = trades(spark, [trade(n, event_time=at(n % 3)) for n in range(9)])
+    # One notification meets no trade.
+    found = notices(spark, [notice("2024-01-01T00:00:01Z", trade_id="t0004"), notice("2024-01-01T00:09:00Z", trade_id="t0099")])
+
+    def outcome():
+        flagged = matching.flag_trades(tape, found, "by_trade_id")
+        return flagged_numbers(flagged), rows(matching.lookup_first_notification(tape, found), "trade_id")
+
+    few = outcome()
+    monkeypatch.setattr(matching, "BROADCAST_KEYS", 0)
+    assert outcome() == few == ({4}, [("t0004",)])
+
+
+def test_flagging_does_not_shuffle_the_tape(spark):
+    tape = trades(spark, [trade(n) for n in range(50)])
+    found = notices(spark, [notice("2024-01-01T00:00:00Z")])
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "10000"}):
+        for mode in matching.MODES:
+            plan = matching.flag_trades(tape, found, mode)._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan, mode
+
+
 def test_consume_once(spark):
     tape = trades(spark, [trade(2), trade(1)])
     found = notices(spark, [notice("2024-01-01T00:00:00Z")])
