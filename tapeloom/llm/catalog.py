@@ -21,4 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_tokenfile": tokenfile.op10_tokenfile,
 }
 
-ORACLE: dict[str, str] = {"op5_maxscore": topk.ORACLE}
+ORACLE: dict[str, str] = {
+    "op5_maxscore": topk.ORACLE,
+    "op7_ngram_join": near.ORACLE,
+    "op9_paragraph_dedup": paragraphs.ORACLE,
+}

@@ -165,3 +165,33 @@ def with_sets(candidates: DataFrame, items: DataFrame, rows: DataFrame, size: in
 
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Words, shingles, and for numbered texts (id, text) the reachable smaller ids over links.
+LINKS_SQL = r"""
+words AS (
+  SELECT id, [x for x in string_split_regex(text, '[\t\n\v\f\r ]+') if x <> ''] AS ws FROM texts
+), shingles AS (
+  SELECT DISTINCT id, unnest(
+    CASE WHEN len(ws) >= 5 THEN [array_to_string(ws[i : i + 4], ' ') for i in range(1, len(ws) - 3)]
+         WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END) AS shingle
+  FROM words
+), sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (
+  SELECT a.id AS x, b.id AS y, count(*) AS common
+  FROM shingles AS a JOIN shingles AS b ON a.shingle = b.shingle AND a.id < b.id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM shared JOIN sizes AS a ON a.id = x JOIN sizes AS b ON b.id = y
+  WHERE common * 5 >= 4 * (a.n + b.n - common)
+), either AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(id, low) AS (
+  SELECT id, id FROM texts
+  UNION SELECT y, low FROM reached JOIN either ON x = id WHERE low < y
+)"""
+
+ORACLE = f"""
+WITH RECURSIVE texts AS (SELECT doc_id AS id, text FROM documents), {LINKS_SQL},
+counted AS (SELECT x AS id, count(*) AS n FROM either GROUP BY x)
+SELECT texts.id AS doc_id, min(low) AS class_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_links
+FROM texts JOIN reached USING (id) LEFT JOIN counted USING (id) GROUP BY texts.id
+"""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tapeloom.llm import hashing, similar
 from tapeloom.llm.frames import arrow_map, chunks, pick, stored, table
-from tapeloom.llm.near import SHINGLE, THRESHOLD, banded
+from tapeloom.llm.near import LINKS_SQL, SHINGLE, THRESHOLD, banded
 
 BANDS, ROWS = 12, 3
 BLOCK = 1 << 20
@@ -179,6 +179,23 @@ def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.col("n").cast("bigint").alias("n_paragraphs"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.coalesce("_removed", F.array().cast("array<int>")).alias("removed"),
+        F.array_join(F.coalesce("_removed", F.array().cast("array<int>")).cast("array<string>"), ",").alias("removed"),
         "text",
     )
+
+
+ORACLE = rf"""
+WITH RECURSIVE split AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+lines AS (
+  SELECT doc_id, place, ls[place + 1] AS line, row_number() OVER (ORDER BY doc_id, place) AS id
+  FROM split, unnest(range(0, len(ls))) AS r(place)
+), texts AS (
+  SELECT id, line AS text FROM lines
+  WHERE len([x for x in string_split_regex(line, '[\t\n\v\f\r ]+') if x <> '']) >= 5
+), {LINKS_SQL},
+gone AS (SELECT id FROM reached GROUP BY id HAVING min(low) < id)
+SELECT doc_id, count(*) AS n_paragraphs, count(gone.id) AS n_removed,
+       coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (gone.id IS NOT NULL), '') AS removed,
+       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (gone.id IS NULL), '') AS text
+FROM lines LEFT JOIN gone USING (id) GROUP BY doc_id
+"""

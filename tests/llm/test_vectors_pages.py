@@ -88,7 +88,8 @@ def test_query_runs(spark, name):
     assert rows.count() > 0
     if name in catalog.ORACLE:
         with duckdb.connect() as con:
-            con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SF}/embeddings.parquet'")
+            for name_ in ("documents", "embeddings"):
+                con.execute(f"CREATE VIEW {name_} AS SELECT * FROM '{SF}/{name_}.parquet'")
             expected = con.execute(catalog.ORACLE[name]).fetchall()
         assert sorted(map(tuple, rows.collect())) == sorted(expected)
 
