@@ -5,9 +5,10 @@ hash, the leftmost on a tie. Equal windows have equal anchors at equal places, s
 only with windows of the same anchor gram; anchors are some hundred bytes apart, and each
 stands for a run of consecutive windows. A run whose whole stretch occurs again is repeated as
 a whole. What is left, one stretch of each different kind, is cut into blocks of windows that
-share a core; blocks whose core occurs once are done. The rest is collected into shards, whose
-Burrows-Wheeler transforms are merged by iterative interleave refinement (`bwt`): suffixes
-that are still together after `length` rounds are a repeated interval.
+share a core; blocks whose core occurs once are done. Of the others a short mark stands for
+the core, and the strings go to shards, whose Burrows-Wheeler transforms are merged by
+iterative interleave refinement (`bwt`): suffixes that are still together at the depth of a
+window are a repeated interval.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ LENGTH = 400
 GRAM = 64
 #: Windows per block; a block's windows share all but so many bytes.
 SPREAD = 64
+#: Bytes that stand for a block's core, and bytes of a window with them.
+MARK = 9
+DEPTH = SPREAD - 1 + MARK
 #: Bytes whose hashes are in memory at once, and bytes of one merge.
 BLOCK = (1 << 20) - 8192
 MERGE = 1 << 18
@@ -117,9 +121,10 @@ def runs_of(rows: DataFrame, length: int, gram: int) -> DataFrame:
 def blocks_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """(unit, kind, base, raw): of each listed stretch, its blocks of up to SPREAD windows.
 
-    `unit` hashes the anchor gram, the block's place and the core that all its windows share;
-    `kind` is the stretch, and the window that starts at raw[i:] starts `base` - i bytes
-    before the anchor.
+    `unit` hashes the anchor gram, the block's place and the core that all its windows share.
+    `raw` has a mark of the core in its place, so a window is DEPTH bytes of it: two are equal
+    if their windows are. `kind` is the stretch, and the window that starts at raw[i:] starts
+    `base` - i bytes before the anchor.
     """
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -144,7 +149,9 @@ def blocks_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
                         units.append((kind["key"], block, shared))
                         names.append(kind["kind"])
                         bases.append(most)
-                        cuts.append(raw[anchor - most : anchor - fewest + length])
+                        start = anchor - block * SPREAD
+                        end = start + length - SPREAD + 1
+                        cuts.append(raw[anchor - most : start] + mark(int(shared)) + raw[end : anchor - fewest + length])
                 keys, places, cores = (np.array(c) for c in zip(*units))
                 unit = hashing.mixed(
                     hashing.mixed(keys.astype(np.int64).view(np.uint64) + places.astype(np.uint64) * hashing.BASE)
@@ -159,10 +166,15 @@ def blocks_of(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return arrow_map(texts, of, "unit bigint, kind bigint, base bigint, raw binary")
 
 
-def repeated_windows(blocks: DataFrame, length: int) -> DataFrame:
+def mark(core: int) -> bytes:
+    """63 bits of a hash in MARK bytes below 128."""
+    return bytes(core >> 7 * place & 127 for place in range(MARK))
+
+
+def repeated_windows(blocks: DataFrame) -> DataFrame:
     """(kind, before): windows that occur again, by how many bytes before the anchor they start."""
     sizes = blocks.groupBy("unit").agg(F.count("*").alias("members")).filter("members > 1")
-    several = stored(blocks.join(sizes, "unit"), "blocks")
+    several = blocks.join(sizes, "unit")
 
     def merge(part: pa.Table) -> Iterator[pa.RecordBatch]:
         units = part.column("meet").to_numpy()
@@ -177,7 +189,7 @@ def repeated_windows(blocks: DataFrame, length: int) -> DataFrame:
             rows = range(edges[start], edges[at])
             start = at
             own = [raws[r] for r in rows]
-            string, offset = bwt.repeated(own[0::2], own[1::2], length)
+            string, offset = bwt.repeated(own[0::2], own[1::2], DEPTH)
             if len(string):
                 row = np.array(rows)[string]
                 yield pa.record_batch(
@@ -191,9 +203,9 @@ def repeated_windows(blocks: DataFrame, length: int) -> DataFrame:
 
     # A block as common as a licence text: every window counts for itself, whoever holds it.
     many = several.filter(F.col("members") > CROWD).withColumn(
-        "at", F.explode(F.sequence(F.lit(1), F.octet_length("raw") - (length - 1)))
+        "at", F.explode(F.sequence(F.lit(1), F.octet_length("raw") - (DEPTH - 1)))
     ).select("unit", "kind", (F.col("base") - F.col("at") + 1).alias("before"),
-             F.sha2(F.substring("raw", F.col("at"), F.lit(length)), 256).alias("window"))
+             F.sha2(F.substring("raw", F.col("at"), F.lit(DEPTH)), 256).alias("window"))
     again = many.groupBy("unit", "before", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     return merged.unionByName(many.join(again, ["unit", "before", "window"]).select("kind", "before"))
 
@@ -224,8 +236,10 @@ def repeated_spans(
         wanted, (rows["text_key"] == wanted["own_key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])
     ).select("text_key", "doc_id", "text", "kinds")
     # Rows that repeat would bring their blocks twice.
-    blocks = blocks_of(texts.select("text", "kinds"), length, gram).dropDuplicates(["unit", "kind"])
-    windows = repeated_windows(blocks, length).groupBy("kind").agg(F.collect_set("before").alias("before"))
+    blocks = stored(
+        blocks_of(texts.select("text", "kinds"), length, gram).dropDuplicates(["unit", "kind"]), "blocks"
+    )
+    windows = repeated_windows(blocks).groupBy("kind").agg(F.collect_set("before").alias("before"))
     whole = kinds.filter("n > 1").select("kind")
     place = ["doc_id", "text_key", "anchor", "low", "high"]
     named = runs.select(*place, F.xxhash64(*same).alias("kind"))
