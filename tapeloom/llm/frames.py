@@ -46,6 +46,39 @@ def stored(df: DataFrame, label: str, partition_by: list[str] | None = None) ->
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the filter that goes to all tasks: 2 MB, whatever the data.
+FILTER_BITS = 1 << 24
+
+
+def parted(rows: DataFrame, key: str, wanted: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+    """`rows` whose key may be among the keys of `wanted`, and those whose key is surely not.
+
+    A bitmap of fixed size holds the hashes of the wanted keys. With few of them it keeps most
+    rows out of a shuffle; with very many it fills up and lets all through, and stays right.
+    """
+
+    def place(column: str) -> Column:
+        return F.pmod(F.xxhash64(F.lit(5), column), F.lit(FILTER_BITS)) + 1
+
+    marks = wanted.select(place(key).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("_bits")
+    )
+    marks = stored(marks, f"{label}-filter")
+    position = F.bitmap_bit_position("_at")
+    byte = F.conv(F.hex(F.substring("_bits", (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.expr("shiftright(_byte, _bit)").bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    # Broadcast: FILTER_BITS / 32768 rows of 4 KB at most.
+    looked_up = (
+        rows.withColumn("_at", place(key)).withColumn("_bucket", F.bitmap_bucket_number("_at"))
+        .join(F.broadcast(marks), "_bucket", "left")
+        .withColumn("_byte", byte).withColumn("_bit", (position % 8).cast("int")).withColumn("_hit", hit)
+    )
+    return (
+        looked_up.filter("_hit").select(*rows.columns),
+        looked_up.filter("NOT _hit").select(*rows.columns),
+    )
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,6 +1,6 @@
 """Removal of every byte covered by a long string that also occurs elsewhere.
 
-Every window of `length` bytes is named by its anchor: the 64-byte gram in it with the least
+Every window of `length` bytes is named by its anchor: the 128-byte gram in it with the least
 hash, the leftmost on a tie. Equal windows have equal anchors at equal places, so windows meet
 only with windows of the same anchor gram; anchors are some hundred bytes apart, and each
 stands for a run of consecutive windows. A run whose whole stretch occurs again is repeated as
@@ -21,10 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeloom.llm import bwt, hashing, similar
-from tapeloom.llm.frames import arrow_map, chunks, pick, stored, table
+from tapeloom.llm.frames import arrow_map, chunks, parted, pick, stored, table
 
 LENGTH = 400
-GRAM = 64
+GRAM = 128
 #: Windows per block; a block's windows share all but so many bytes.
 SPREAD = 64
 #: Bytes that stand for a block's core, and bytes of a window with them.
@@ -172,7 +172,7 @@ def mark(core: int) -> bytes:
 
 
 def repeated_windows(blocks: DataFrame) -> DataFrame:
-    """(kind, before): windows that occur again, by how many bytes before the anchor they start."""
+    """(kind, least, most): windows that occur again, in ranges of bytes before the anchor."""
     sizes = blocks.groupBy("unit").agg(F.count("*").alias("members")).filter("members > 1")
     several = blocks.join(sizes, "unit")
 
@@ -191,15 +191,20 @@ def repeated_windows(blocks: DataFrame) -> DataFrame:
             own = [raws[r] for r in rows]
             string, offset = bwt.repeated(own[0::2], own[1::2], DEPTH)
             if len(string):
-                row = np.array(rows)[string]
+                order = np.lexsort((offset, string))
+                string, offset = string[order], offset[order]
+                cut = np.flatnonzero((string[1:] != string[:-1]) | (offset[1:] != offset[:-1] + 1)) + 1
+                first, last = np.concatenate(([0], cut)), np.concatenate((cut, [len(string)])) - 1
+                row = np.array(rows)[string[first]]
                 yield pa.record_batch(
-                    [pa.array(kinds[row]), pa.array(bases[row] - offset)], names=["kind", "before"]
+                    [pa.array(kinds[row]), pa.array(bases[row] - offset[last]), pa.array(bases[row] - offset[first])],
+                    names=["kind", "least", "most"],
                 )
 
     few = several.filter(F.col("members") <= CROWD).select(
         F.col("unit").alias("meet"), F.lit(0).alias("half"), "kind", "base", "raw"
     )
-    merged = similar.over_groups(few, merge, "kind bigint, before bigint")
+    merged = similar.over_groups(few, merge, "kind bigint, least bigint, most bigint")
 
     # A block as common as a licence text: every window counts for itself, whoever holds it.
     many = several.filter(F.col("members") > CROWD).withColumn(
@@ -207,7 +212,10 @@ def repeated_windows(blocks: DataFrame) -> DataFrame:
     ).select("unit", "kind", (F.col("base") - F.col("at") + 1).alias("before"),
              F.sha2(F.substring("raw", F.col("at"), F.lit(DEPTH)), 256).alias("window"))
     again = many.groupBy("unit", "before", "window").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    return merged.unionByName(many.join(again, ["unit", "before", "window"]).select("kind", "before"))
+    single = many.join(again, ["unit", "before", "window"]).select(
+        "kind", F.col("before").alias("least"), F.col("before").alias("most")
+    )
+    return merged.unionByName(single)
 
 
 def repeated_spans(
@@ -218,9 +226,11 @@ def repeated_spans(
     Spans may overlap. Rows with equal id and text share the spans of both.
     """
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
-    runs = stored(runs_of(rows, length, gram), "runs")
+    # The runs are made twice, which is cheaper than to keep them; few have a repeated anchor.
+    runs = runs_of(rows, length, gram)
     again = runs.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    runs = stored(runs.join(again, "key"), "repeated-anchors")
+    again = stored(again, "repeated-keys")
+    runs = stored(parted(runs, "key", again, "keys")[0].join(again, "key"), "repeated-anchors")
     same = ["key", "low", "high", "whole"]
     kinds = runs.groupBy(*same).agg(
         F.count("*").alias("n"), F.min(F.struct("text_key", "doc_id", "anchor")).alias("shown")
@@ -232,14 +242,17 @@ def repeated_spans(
     ).agg(F.collect_list(F.struct("kind", "key", "low", "high", F.col("shown.anchor").alias("anchor"))).alias("kinds"))
     wanted = stored(wanted, "wanted")
     # One plan at every size: the texts are dealt by their hash.
-    texts = rows.filter(F.octet_length("text") >= length).hint("merge").join(
-        wanted, (rows["text_key"] == wanted["own_key"]) & rows["doc_id"].eqNullSafe(wanted["own_id"])
-    ).select("text_key", "doc_id", "text", "kinds")
+    texts = parted(rows, "text_key", wanted.select(F.col("own_key").alias("text_key")), "wanted")[0]
+    texts = texts.alias("r").hint("merge").join(
+        wanted, (F.col("r.text_key") == F.col("own_key")) & F.col("r.doc_id").eqNullSafe(F.col("own_id"))
+    ).select("text", "kinds")
     # Rows that repeat would bring their blocks twice.
     blocks = stored(
-        blocks_of(texts.select("text", "kinds"), length, gram).dropDuplicates(["unit", "kind"]), "blocks"
+        blocks_of(texts, length, gram).dropDuplicates(["unit", "kind"]), "blocks"
+    )
+    windows = repeated_windows(blocks).groupBy("kind").agg(
+        F.collect_list(F.struct("least", "most")).alias("ranges")
     )
-    windows = repeated_windows(blocks).groupBy("kind").agg(F.collect_set("before").alias("before"))
     whole = kinds.filter("n > 1").select("kind")
     place = ["doc_id", "text_key", "anchor", "low", "high"]
     named = runs.select(*place, F.xxhash64(*same).alias("kind"))
@@ -250,7 +263,11 @@ def repeated_spans(
     )
     partly = named.join(windows, "kind").select(
         "doc_id", "text_key",
-        F.expr(f"transform(before, b -> named_struct('start', anchor - b, 'end', anchor - b + {length}))").alias("spans"),
+        F.transform(
+            "ranges",
+            lambda r: F.struct((F.col("anchor") - r.most).alias("start"),
+                               (F.col("anchor") - r.least + length).alias("end")),
+        ).alias("spans"),
     )
     return covered.unionByName(partly).groupBy("doc_id", "text_key").agg(
         F.flatten(F.collect_list("spans")).alias("spans")
@@ -267,14 +284,18 @@ def without_repeats(
     shorter than `length` stays whole. Repeated rows repeat each other's text. What is kept
     are bytes, as a cut may fall inside a character.
     """
-    spans = repeated_spans(docs, length, gram, id_col, text_col)
+    spans = stored(repeated_spans(docs, length, gram, id_col, text_col), "spans")
     rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    joined = rows.alias("r").hint("merge").join(
+    # Only texts that may have spans are shuffled to meet them.
+    some, none = parted(rows, "text_key", spans, "spans")
+    joined = some.alias("r").hint("merge").join(
         spans.alias("s"),
         (F.col("r.text_key") == F.col("s.text_key")) & F.col("r.doc_id").eqNullSafe(F.col("s.doc_id")),
         "left",
     ).select("r.doc_id", "r.text", "s.spans")
+    whole = none.select("doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
+    joined = joined.unionByName(whole)
 
     def cut(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for start, end in chunks(batch, "text", 4 * BLOCK):
