@@ -20,7 +20,7 @@ from tapeloom.llm.frames import remainder
 SF = "/root/testdata/sf0.001"
 #: Extra columns whose names clash with our own, and the odd rows every operator must take.
 SCHEMA = "doc_id bigint, text string, lang string, item bigint, score string, `key` int, text_key string"
-LONG = "unbroken" * 4000
+LONG = "unbroken" * 300
 
 
 def docs(spark, rows):
@@ -123,13 +123,13 @@ def test_encode_odd_rows(spark, codec):
         expected.append((number or 0, np.array(ids, "<u4").tobytes(), len(ids)))
     assert encoded(spark, ODD) == sorted(expected)
     # The same through rows of parts and rounds of joins.
-    assert encoded(spark, ODD, long_chars=64, leaf=32) == sorted(expected)
+    assert encoded(spark, ODD, long_chars=512, leaf=32) == sorted(expected)
     assert encoded(spark, []) == []
 
 
 def test_long_documents_in_parts(spark, codec, copies):
     rows = [*copies[:12], (100, LONG + " " + copies[0][1] + "\n\n" + LONG + "'s \n " + LONG), (101, " " * 900 + "a" * 700)]
-    assert encoded(spark, rows, long_chars=256, leaf=48) == encoded(spark, rows)
+    assert encoded(spark, rows, long_chars=1024, leaf=48) == encoded(spark, rows)
 
 
 def test_decode_round_trip(spark):

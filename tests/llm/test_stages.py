@@ -9,7 +9,7 @@ from tapeloom.llm import stages
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, item bigint, _removed string"
-LONG = "unbroken" * 3000
+LONG = "unbroken" * 300
 ROWS = [
     (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n ", "en", None, 3), (4, "one", None, "b", 3),
     (5, "one", "en", "b", 3), (5, "one", "en", "b", 3), (None, "two words", "en", "c", 9), (6, LONG, "en", "d", len(LONG)),
