@@ -19,7 +19,7 @@ import struct
 import sys
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -64,13 +64,10 @@ class Codec:
     def __init__(self, path: str, leaf: int = LEAF):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
-        self.leaf = leaf
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path, self.leaf = path, leaf
         self.added = {token["content"]: token["id"] for token in spec["added_tokens"]}
-        self.vocab_size = self.library.get_vocab_size()
         pre, model = spec["pre_tokenizer"] or {}, spec["model"]
+        self.vocab_size = len(set(model["vocab"].values()) | set(self.added.values()))
         self.byte_level = (
             spec["normalizer"] is None
             and pre.get("type") == "ByteLevel"
@@ -86,19 +83,15 @@ class Codec:
         self._foreign: re.Pattern | None = None
         if not self.byte_level:
             return
-        symbols = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        self.symbols = byte_symbols()
+        symbols = {symbol: byte for byte, symbol in enumerate(self.symbols)}
         self.token_bytes = [b""] * (1 + max([*model["vocab"].values(), *self.added.values()]))
         for token, number in model["vocab"].items():
             self.token_bytes[number] = bytes(symbols[symbol] for symbol in token)
         ranks = {self.token_bytes[number]: number for number in model["vocab"].values()}
+        self.ranked = ids_follow_merges(model, ranks)
         for token, number in self.added.items():
             self.token_bytes[number] = token.encode()
-        self.ranked = ids_follow_merges(model, ranks, self.token_bytes)
-        self.quick = tiktoken.Encoding(
-            "file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
-        ) if self.ranked else None
-        self.buffer = self.quick._core_bpe.encode_to_tiktoken_buffer if self.quick else None
-        self.symbols = byte_symbols()
         self.pieces = regex.compile(PATTERN).findall
         self.split_added = (
             re.compile("|".join(sorted(map(re.escape, self.added), key=len, reverse=True)))
@@ -106,6 +99,27 @@ class Codec:
             else None
         )
 
+    # A worker that only decodes needs neither of the two encoders.
+
+    @cached_property
+    def library(self) -> Tokenizer:
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
+    @cached_property
+    def quick(self) -> tiktoken.Encoding | None:
+        if not self.ranked:
+            return None
+        added = set(self.added.values())
+        ranks = {raw: number for number, raw in enumerate(self.token_bytes) if raw and number not in added}
+        return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    @cached_property
+    def buffer(self):
+        return self.quick._core_bpe.encode_to_tiktoken_buffer
+
     # Encoding
 
     def merge(self, raw: bytes) -> list[int]:
@@ -262,7 +276,7 @@ def gathered(pieces: list[str], size: int) -> Iterator[str]:
         yield "".join(held)
 
 
-def ids_follow_merges(model: dict, ranks: dict[bytes, int], token_bytes: list[bytes]) -> bool:
+def ids_follow_merges(model: dict, ranks: dict[bytes, int]) -> bool:
     """Whether merging by the ids of results is merging by the order of the merges."""
     symbols = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
     last = -1

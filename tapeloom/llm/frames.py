@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tapeloom.session import work_dir
 
 
+ROWS_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -23,7 +24,11 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     Python workers started from here on look for this package where the driver found it; on a
     cluster it is installed on the executors or shipped with the job, as any package.
     """
-    known = df.sparkSession.sparkContext.environment
+    spark = df.sparkSession
+    if spark.conf.get(ROWS_SETTING) == "10000":
+        # The default would let ten thousand very long texts into one batch of a worker.
+        spark.conf.set(ROWS_SETTING, "2000")
+    known = spark.sparkContext.environment
     if ROOT not in known.get("PYTHONPATH", "").split(os.pathsep):
         known["PYTHONPATH"] = os.pathsep.join(filter(None, [known.get("PYTHONPATH"), ROOT]))
     return df.select(*[df[f"`{name}`"].alias(alias) for alias, name in columns.items()])
