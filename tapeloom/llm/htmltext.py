@@ -47,6 +47,9 @@ BOILERPLATE = {
     "replies", "disqus", "share", "sharing", "social", "related", "newsletter", "subscribe", "subscription",
     "widget", "complementary", "contentinfo", "alert",
 }
+#: Elements that hold a block of text or a list of them; what encloses them is a container.
+BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt", "dd", "pre", "blockquote", "figure",
+          "figcaption", "caption", "address"} | INLINE
 MAIN = {"article", "main"}
 MAIN_WORDS = {"main", "article", "articlebody"}
 SHARE_OF_PAGES = 0.5
@@ -148,8 +151,8 @@ def templates(pages: DataFrame) -> DataFrame:
     """(host, classes) from rows of (host, html): each class with its paths, nested.
 
     A class has `paths` (same occurrence vector), `repeat` (occurrences per page), `pages`,
-    `text` (characters of blocks directly inside, over all pages), and `parent`, the place in
-    the list of the class around it, -1 for the outermost.
+    `texts` (for each path the characters of all blocks that it encloses, over all pages), and
+    `parent`, the place in the list of the class around it, -1 for the outermost.
     """
 
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -161,7 +164,8 @@ def templates(pages: DataFrame) -> DataFrame:
                 if text is None:
                     own[0] += 1
                 elif not off:
-                    own[1] += len(text)
+                    for depth in range(1, len(path) + 1):
+                        seen.setdefault(path[:depth], [0, 0])[1] += len(text)
             for path, (n, size) in seen.items():
                 for name, value in zip(("page", "host", "path", "n", "size"), (number, host, "/".join(path), n, size)):
                     out[name].append(value)
@@ -170,8 +174,13 @@ def templates(pages: DataFrame) -> DataFrame:
                                          ("n", pa.int64()), ("size", pa.int64())])
         )
 
+    # Copies of a page are one page: they say nothing of what pages share. Only copies are shuffled.
     numbered = pages.select(F.xxhash64("host", "html").alias("page"), "host", "html")
-    tokens = arrow_map(numbered, count, "page bigint, host string, path string, n bigint, size bigint")
+    copied = stored(numbered.groupBy("page").count().filter("count > 1").select("page"), "copied")
+    different = numbered.join(copied, "page", "left_anti").unionByName(
+        numbered.join(copied, "page", "left_semi").dropDuplicates(["page"])
+    )
+    tokens = arrow_map(different, count, "page bigint, host string, path string, n bigint, size bigint")
     vectors = tokens.groupBy("host", "path").agg(
         F.count("*").alias("pages"), F.min("n").alias("least"), F.max("n").alias("most"),
         F.sum("size").alias("size"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
@@ -184,10 +193,10 @@ def templates(pages: DataFrame) -> DataFrame:
     )
     # A class is one vector; half of the pages bounds the classes of a host by a page's size.
     classes = valid.groupBy("host", "vector", "pages", F.col("least").alias("repeat")).agg(
-        F.sort_array(F.collect_list("path")).alias("paths"), F.sum("size").alias("text")
-    )
+        F.sort_array(F.collect_list(F.struct("path", "size"))).alias("found")
+    ).select("host", "vector", "pages", "repeat", F.col("found.path").alias("paths"), F.col("found.size").alias("texts"))
     ordered = classes.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.struct("paths", "repeat", "pages", "text"))).alias("classes")
+        F.sort_array(F.collect_list(F.struct("paths", "repeat", "pages", "texts"))).alias("classes")
     )
 
     def nest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -204,36 +213,36 @@ def templates(pages: DataFrame) -> DataFrame:
 
     return arrow_map(
         ordered, nest,
-        "host string, classes array<struct<paths:array<string>,`repeat`:bigint,pages:bigint,text:bigint,parent:bigint>>",
+        "host string, classes array<struct<paths:array<string>,`repeat`:bigint,pages:bigint,texts:array<bigint>,parent:bigint>>",
     )
 
 
 NESTED = pa.schema([
     ("host", pa.string()),
     ("classes", pa.list_(pa.struct([("paths", pa.list_(pa.string())), ("repeat", pa.int64()), ("pages", pa.int64()),
-                                    ("text", pa.int64()), ("parent", pa.int64())]))),
+                                    ("texts", pa.list_(pa.int64())), ("parent", pa.int64())]))),
 ])
 
 
-def off_path(path: str) -> bool:
-    for label in path.split("/"):
-        tag, *words = label.split(".")
-        if tag in DROPPED or tag in RAW or set(re.split(r"[^a-z]+", " ".join(words))) & BOILERPLATE:
-            return True
-    return False
-
-
 def main_slot(classes: list[dict] | None) -> str | None:
-    """The template's path with the most text that no name calls boilerplate: its container."""
-    best = (0, None)
-    for c in classes or []:
-        for path in c["paths"]:
-            if not off_path(path):
-                size = sum(o["text"] for o in classes if any(p.startswith(path) for p in o["paths"]))
-                depth = path.count("/")
-                if c["repeat"] == 1 and size > 0 and (size, depth) > (best[0], best[1].count("/") if best[1] else -1):
-                    best = (size, path)
-    return best[1]
+    """The template's container with the most text of its own.
+
+    Containers are elements found once a page. The text of every other element, repeated and
+    optional ones included, belongs to the nearest container around it.
+    """
+    inside = {
+        path: size for c in classes or [] if c["repeat"] == 1 for path, size in zip(c["paths"], c["texts"])
+        if path.split("/")[-1].split(".")[0] not in BLOCKS
+    }
+    own = dict(inside)
+    for path, size in inside.items():
+        above = path.split("/")[:-1]
+        while above and "/".join(above) not in own:
+            above.pop()
+        if above:
+            own["/".join(above)] -= size
+    best = max(own, key=lambda path: (own[path], path), default=None)
+    return best if best is not None and own[best] > 0 else None
 
 
 def main_text(page: str, slot: str | None) -> str:

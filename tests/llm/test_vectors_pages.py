@@ -82,6 +82,20 @@ def test_slot_of_the_host(spark):
     assert "body/div.body" in paths and all(c.parent < len(template.classes) for c in template.classes)
 
 
+def test_slot_of_varying_paragraphs(spark):
+    """Paragraphs whose number varies belong to the container around them; depth does not count."""
+    rows = []
+    for k in range(6):
+        text = "".join(f"<p>{'text ' * 10}{k} {n}</p>" for n in range(1 + k % 3))
+        rows.append((k, f"http://h.example/{k}",
+                     f'<body><div class="content"><h1>Title {k}</h1>{text}<ul><li>one {k}<li>two {k}</ul></div>'
+                     f'<div><div><div class="logo">logo {k}</div></div></div></body>'))
+    found = {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()}
+    for k in range(6):
+        text = [f"{'text ' * 10}{k} {n}" for n in range(1 + k % 3)]
+        assert found[k] == "\n\n".join([f"Title {k}", *text, f"one {k}", f"two {k}"])
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_runs(spark, name):
     rows = catalog.QUERIES[name](spark, SF)
