@@ -5,12 +5,14 @@ the same occurrence vector over a host's pages, that is as often as each other i
 page, form an equivalence class; classes found in at least half of the pages, as often in
 each, make the host's template, nested by their paths. Occurrence vectors are compared by a
 hash that Spark sums up, so no host's pages ever meet in one task. The template's elements
-delimit its slots; a page's main slot is its article, or, where the host marks none, the slot
-with the most text that is not boilerplate by name. What the slot holds is extracted block by block.
+delimit its slots; the main slot is the container with the most text of its own, where an
+article or main element counts with all that it encloses. What the slot holds is extracted block
+by block, without the blocks that are constant over the host's pages.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
@@ -53,6 +55,8 @@ BLOCKS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "ul", "ol", "li", "dl", "dt",
 MAIN = {"article", "main"}
 MAIN_WORDS = {"main", "article", "articlebody"}
 SHARE_OF_PAGES = 0.5
+#: Fewer pages with a block in common may as well be near copies of one page.
+LEAST_PAGES = 3
 
 
 def named(tag: str, attributes: str) -> tuple[str, bool, bool]:
@@ -148,30 +152,39 @@ def hosted(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFr
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, classes) from rows of (host, html): each class with its paths, nested.
+    """(host, classes, slot, constant) from rows of (host, html): each class with its paths, nested.
 
     A class has `paths` (same occurrence vector), `repeat` (occurrences per page), `pages`,
-    `texts` (for each path the characters of all blocks that it encloses, over all pages), and
-    `parent`, the place in the list of the class around it, -1 for the outermost.
+    `texts` (for each path the characters of all blocks that it encloses, over all pages),
+    `mains` (whether the element marks the main text by name), and `parent`, the place in the
+    list of the class around it, -1 for the outermost. `slot` is the path of the main slot,
+    `constant` the keys of blocks that half of the pages, and LEAST_PAGES, have in common.
     """
 
+    names = ("page", "host", "path", "block", "n", "size", "main")
+
     def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = defaultdict(list)
         for number, host, page in zip(*(batch.column(c).to_pylist() for c in ("page", "host", "html"))):
-            seen: dict[tuple, list[int]] = {(): [1, 0]}
-            for path, off, _, text in parsed(page or ""):
-                own = seen.setdefault(path, [0, 0])
+            seen: dict[tuple, list[int]] = {(): [1, 0, 0]}
+            blocks: set[int] = set()
+            for path, off, main, text in parsed(page or ""):
+                own = seen.setdefault(path, [0, 0, 0])
                 if text is None:
                     own[0] += 1
+                    own[2] |= main == len(path) - 1 and not off
                 elif not off:
+                    blocks.add(block_key(path, text))
                     for depth in range(1, len(path) + 1):
-                        seen.setdefault(path[:depth], [0, 0])[1] += len(text)
-            for path, (n, size) in seen.items():
-                for name, value in zip(("page", "host", "path", "n", "size"), (number, host, "/".join(path), n, size)):
-                    out[name].append(value)
+                        seen.setdefault(path[:depth], [0, 0, 0])[1] += len(text)
+            rows = [(number, host, "/".join(path), 0, *found) for path, found in seen.items()]
+            rows += [(number, host, None, block, 1, 0, 0) for block in blocks]
+            for name, values in zip(names, zip(*rows)):
+                out[name] += values
         yield pa.RecordBatch.from_pydict(
             dict(out), schema=pa.schema([("page", pa.int64()), ("host", pa.string()), ("path", pa.string()),
-                                         ("n", pa.int64()), ("size", pa.int64())])
+                                         ("block", pa.int64()), ("n", pa.int64()), ("size", pa.int64()),
+                                         ("main", pa.int64())])
         )
 
     # Copies of a page are one page: they say nothing of what pages share. Only copies are shuffled.
@@ -180,56 +193,73 @@ def templates(pages: DataFrame) -> DataFrame:
     different = numbered.join(copied, "page", "left_anti").unionByName(
         numbered.join(copied, "page", "left_semi").dropDuplicates(["page"])
     )
-    tokens = arrow_map(different, count, "page bigint, host string, path string, n bigint, size bigint")
-    vectors = tokens.groupBy("host", "path").agg(
-        F.count("*").alias("pages"), F.min("n").alias("least"), F.max("n").alias("most"),
+    tokens = arrow_map(
+        different, count,
+        "page bigint, host string, path string, block bigint, n bigint, size bigint, main bigint",
+    )
+    vectors = tokens.groupBy("host", "path", "block").agg(
+        F.count("*").alias("pages"), F.min("n").alias("least"), F.max("n").alias("most"), F.max("main").alias("main"),
         F.sum("size").alias("size"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"),
     )
-    vectors = stored(vectors, "vectors")
+    vectors = stored(vectors.filter(F.col("path").isNotNull() | (F.col("pages") >= LEAST_PAGES)), "vectors")
     total = vectors.filter("path = ''").select("host", F.col("pages").alias("all_pages"))
-    valid = vectors.join(total, "host").filter(
-        (F.col("path") != "") & (F.col("least") == F.col("most")) & (F.col("pages") > 1)
-        & (F.col("pages") >= F.col("all_pages") * SHARE_OF_PAGES)
-    )
+    common = vectors.join(total, "host").filter(F.col("pages") >= F.col("all_pages") * SHARE_OF_PAGES)
+    valid = common.filter((F.col("path") != "") & (F.col("least") == F.col("most")) & (F.col("pages") > 1))
     # A class is one vector; half of the pages bounds the classes of a host by a page's size.
     classes = valid.groupBy("host", "vector", "pages", F.col("least").alias("repeat")).agg(
-        F.sort_array(F.collect_list(F.struct("path", "size"))).alias("found")
-    ).select("host", "vector", "pages", "repeat", F.col("found.path").alias("paths"), F.col("found.size").alias("texts"))
+        F.sort_array(F.collect_list(F.struct("path", "size", "main"))).alias("found")
+    ).select("host", "vector", "pages", "repeat", *(F.col(f"found.{c}").alias(f"{c}s") for c in ("path", "size", "main")))
     ordered = classes.groupBy("host").agg(
-        F.sort_array(F.collect_list(F.struct("paths", "repeat", "pages", "texts"))).alias("classes")
+        F.sort_array(F.collect_list(F.struct("paths", "repeat", "pages", F.col("sizes").alias("texts"), "mains"))).alias("classes")
     )
+    # The same bound holds for the blocks.
+    constant = common.filter("path IS NULL").groupBy("host").agg(F.sort_array(F.collect_list("block")).alias("constant"))
+    ordered = ordered.join(constant, "host", "full")
 
     def nest(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
-        for host, found in zip(batch.column("host").to_pylist(), batch.column("classes").to_pylist()):
+        for host, found, constant in zip(*(batch.column(c).to_pylist() for c in ("host", "classes", "constant"))):
+            found = found or []
             owner = {path: at for at, c in enumerate(found) for path in c["paths"]}
             for at, c in enumerate(found):
                 above = c["paths"][0].split("/")[:-1]
                 while above and owner.get("/".join(above), at) == at:
                     above.pop()
                 c["parent"] = owner.get("/".join(above), -1) if above else -1
-            rows.append({"host": host, "classes": found})
+            rows.append({"host": host, "classes": found, "slot": main_slot(found), "constant": constant})
         yield pa.RecordBatch.from_pylist(rows, schema=NESTED)
 
     return arrow_map(
         ordered, nest,
-        "host string, classes array<struct<paths:array<string>,`repeat`:bigint,pages:bigint,texts:array<bigint>,parent:bigint>>",
+        "host string, classes array<struct<paths:array<string>,`repeat`:bigint,pages:bigint,texts:array<bigint>,"
+        "mains:array<bigint>,parent:bigint>>, slot string, constant array<bigint>",
     )
 
 
 NESTED = pa.schema([
     ("host", pa.string()),
     ("classes", pa.list_(pa.struct([("paths", pa.list_(pa.string())), ("repeat", pa.int64()), ("pages", pa.int64()),
-                                    ("texts", pa.list_(pa.int64())), ("parent", pa.int64())]))),
+                                    ("texts", pa.list_(pa.int64())), ("mains", pa.list_(pa.int64())),
+                                    ("parent", pa.int64())]))),
+    ("slot", pa.string()),
+    ("constant", pa.list_(pa.int64())),
 ])
 
 
+def block_key(path: tuple[str, ...], text: str) -> int:
+    """A block's text and the element it is directly in, as 64 bits."""
+    raw = f"{path[-1] if path else ''} {text}".encode(errors="surrogatepass")
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+
+
 def main_slot(classes: list[dict] | None) -> str | None:
     """The template's container with the most text of its own.
 
     Containers are elements found once a page. The text of every other element, repeated and
-    optional ones included, belongs to the nearest container around it.
+    optional ones included, belongs to the nearest container around it. A container that marks
+    the main text by name is given all that it encloses.
     """
+    marked = {path for c in classes or [] for path, main in zip(c["paths"], c["mains"]) if main}
     inside = {
         path: size for c in classes or [] if c["repeat"] == 1 for path, size in zip(c["paths"], c["texts"])
         if path.split("/")[-1].split(".")[0] not in BLOCKS
@@ -241,22 +271,30 @@ def main_slot(classes: list[dict] | None) -> str | None:
             above.pop()
         if above:
             own["/".join(above)] -= size
+    own |= {path: size for path, size in inside.items() if path in marked}
     best = max(own, key=lambda path: (own[path], path), default=None)
     return best if best is not None and own[best] > 0 else None
 
 
-def main_text(page: str, slot: str | None) -> str:
-    """Blocks of the page's main part, joined by an empty line."""
-    marked, in_slot, rest = [], [], []
+def main_text(page: str, slot: str | None, constant: frozenset[int] = frozenset()) -> str:
+    """Blocks of the page's main part without the host's constant ones, joined by an empty line.
+
+    The main part is the slot, or the elements in it that mark the main text, if those have at
+    least half of its text. A page that has nothing in the slot gives its marked elements, or
+    all. A page of constant blocks only keeps them.
+    """
+    found = []
     for path, off, main, text in parsed(page):
-        if text is None or off:
-            continue
-        rest.append(text)
-        if main >= 0:
-            marked.append(text)
-        elif slot is not None and ("/".join(path) + "/").startswith(slot + "/"):
-            in_slot.append(text)
-    return "\n\n".join(marked or in_slot or rest)
+        if text is not None and not off:
+            found.append((slot is not None and ("/".join(path) + "/").startswith(slot + "/"), main >= 0, text,
+                          bool(constant) and block_key(path, text) in constant))
+    left = [b for b in found if not b[3]] or found
+    part = [b for b in left if b[0]]
+    if part:
+        marked = [b for b in part if b[1]]
+        if 2 * sum(len(b[2]) for b in marked) >= sum(len(b[2]) for b in part):
+            part = marked
+    return "\n\n".join(b[2] for b in part or [b for b in left if b[1]] or left)
 
 
 def extract(
@@ -265,22 +303,18 @@ def extract(
     """(page_id, url, text, n_chars) of every row.
 
     A null page is empty and gives the empty text; a null url belongs to the host ''. Repeated
-    rows each get their result. A page with an article or main element gives that; another
-    one its host's main slot; without a template, all that is not boilerplate by name.
+    rows each get their result. A page gives its host's main slot without the constant blocks;
+    without a template, its article or main element, or all that is not boilerplate by name.
     """
     rows = hosted(pages, id_col, url_col, html_col)
-    found = stored(templates(rows.select("host", "html")), "templates")
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "classes")
+    found = stored(templates(rows.select("host", "html")).select("host", "slot", "constant"), "templates")
+    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "slot", "constant")
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        known: dict[str, str | None] = {}
         texts = []
-        for page, classes in zip(batch.column("html").to_pylist(), batch.column("classes")):
-            key = str(classes) if classes.is_valid and len(classes) < 1000 else ""
-            if key not in known:
-                known[key] = main_slot(classes.as_py())
-            texts.append(main_text(page or "", known[key]))
+        for page, slot, constant in zip(*(batch.column(c).to_pylist() for c in ("html", "slot", "constant"))):
+            texts.append(main_text(page or "", slot, frozenset(constant or ())))
         yield pa.record_batch(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
              pa.array([len(t) for t in texts], pa.int64())],

@@ -96,6 +96,17 @@ def test_slot_of_varying_paragraphs(spark):
         assert found[k] == "\n\n".join([f"Title {k}", *text, f"one {k}", f"two {k}"])
 
 
+def test_template_goes_before_the_article_element(spark):
+    """What the pages share leaves the article, and a small article element is not the slot."""
+    notice = "<div><p>All rights reserved by the publisher.</p></div>"
+    rows = [(k, f"http://h.example/{k}", f"<body><article><h1>Title {k}</h1>{notice}<p>{'text ' * 9}{k}</p></article></body>")
+            for k in range(4)]
+    rows += [(10 + k, f"http://i.example/{k}",
+              f"<body><article><p>teaser {k}</p></article><div class='x'><p>{'text ' * 9}{k}</p></div></body>") for k in range(4)]
+    found = {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()}
+    assert found == {k: f"Title {k}\n\n{'text ' * 9}{k}" for k in range(4)} | {10 + k: f"{'text ' * 9}{k}" for k in range(4)}
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_runs(spark, name):
     rows = catalog.QUERIES[name](spark, SF)
