@@ -17,6 +17,7 @@ import html
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -59,8 +60,8 @@ SHARE_OF_PAGES = 0.5
 LEAST_PAGES = 3
 
 
-def named(tag: str, attributes: str) -> tuple[str, bool, bool]:
-    """(label of the element in a path, is it boilerplate, does it mark the main text)."""
+def named(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
+    """(label of the element in a path, is it boilerplate by its tag, by a name, does it mark the main text)."""
     words: list[str] = []
     marks: set[str] = set()
     if "=" in attributes:
@@ -72,33 +73,90 @@ def named(tag: str, attributes: str) -> tuple[str, bool, bool]:
                     words += value.split()
                 marks.update(w for w in re.split(r"[^a-z]+", value) if w)
     label = ".".join([tag, *sorted(words)])
-    off = tag in DROPPED or tag in RAW or bool(marks & BOILERPLATE and tag not in ("html", "body"))
-    return label, off, tag in MAIN or bool(marks & MAIN_WORDS and tag not in ("html", "body"))
+    off = bool(marks & BOILERPLATE and tag not in ("html", "body"))
+    return label, tag in DROPPED or tag in RAW, off, tag in MAIN or bool(marks & MAIN_WORDS and tag not in ("html", "body"))
 
 
-def parsed(page: str) -> Iterator[tuple[tuple[str, ...], bool, int, str | None]]:
+class Element(NamedTuple):
+    """An element of a page: place of the one around it (-1: none), and what `named` says."""
+
+    parent: int
+    label: str
+    dropped: bool
+    named_off: bool
+    main: bool
+
+
+def parsed(page: str) -> list[tuple[tuple[str, ...], bool, int, str | None]]:
     """Elements and blocks in page order: (path, off, depth of the main mark or -1, text).
 
     A text of None announces an element, other texts are the blocks directly in the path.
     """
-    stack: list[tuple[str, str, bool]] = []
-    mains: list[int] = []
+    elements: list[Element] = []
+    events = list(scanned(page, elements))
+    trusted = not_wrapping(elements, events)
+    states: list[tuple[tuple[str, ...], bool, int]] = []
+    outside = ((), False, -1)
+    for e, off_by_name in zip(elements, trusted):
+        path, off, main = outside if e.parent < 0 else states[e.parent]
+        if main < 0 and e.main and not off:
+            main = len(path)
+        states.append(((*path, e.label), off or e.dropped or off_by_name, main))
+    return [(*(outside if at < 0 else states[at]), text) for at, text in events]
+
+
+def not_wrapping(elements: list[Element], events: list[tuple[int, str | None]]) -> list[bool]:
+    """Which elements are boilerplate by name and do not wrap the main text.
+
+    A name is not believed of an element with most of the page's text, unless elements that mark
+    the main text elsewhere hold a quarter as much; nor, where all such marks are in elements
+    with such names, of those around a `main` or the only mark.
+    """
+    if not any(e.named_off for e in elements):
+        return [False] * len(elements)
+    dropped, named_off, in_main = [], [], []
+    for e in elements:
+        up = e.parent
+        dropped.append(e.dropped or (up >= 0 and dropped[up]))
+        named_off.append(e.named_off or (up >= 0 and named_off[up]))
+        in_main.append(e.main or (up >= 0 and in_main[up]))
+    size = [0] * len(elements)
+    total = 0
+    for at, text in events:
+        if text is not None and (at < 0 or not dropped[at]):
+            total += len(text)
+            if at >= 0:
+                size[at] += len(text)
+    for at in range(len(elements) - 1, -1, -1):
+        if elements[at].parent >= 0:
+            size[elements[at].parent] += size[at]
+    marks = [at for at, e in enumerate(elements)
+             if e.main and size[at] and not dropped[at] and (e.parent < 0 or not in_main[e.parent])]
+    clear = sum(size[at] for at in marks if not named_off[at])
+    wraps = set()
+    for mark in marks if not clear else []:
+        if len(marks) == 1 or elements[mark].label.split(".")[0] != "article":
+            while mark >= 0:
+                wraps.add(mark)
+                mark = elements[mark].parent
+    return [e.named_off and at not in wraps and not (2 * size[at] > total and 4 * clear < size[at])
+            for at, e in enumerate(elements)]
+
+
+def scanned(page: str, elements: list[Element]) -> Iterator[tuple[int, str | None]]:
+    """(place of the element or -1, block, or None where the element starts); fills `elements`."""
+    stack: list[tuple[str, int]] = []
     held: list[str] = []
     at = 0
 
-    def state() -> tuple[tuple[str, ...], bool, int]:
-        return tuple(s[1] for s in stack), any(s[2] for s in stack), mains[0] if mains else -1
+    def inner() -> int:
+        return stack[-1][1] if stack else -1
 
-    def block() -> Iterator[tuple]:
+    def block() -> Iterator[tuple[int, str]]:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            yield (*state(), text)
-
-    def leave(depth: int) -> None:
-        del stack[depth:]
-        while mains and mains[-1] >= depth:
-            mains.pop()
+            yield inner(), text
 
     while at < len(page):
         found = TOKEN.search(page, at)
@@ -110,7 +168,7 @@ def parsed(page: str) -> Iterator[tuple[tuple[str, ...], bool, int, str | None]]
         tag = (found.group(2) or "").lower()
         if not tag:
             continue
-        label, off, main = named(tag, found.group(3) or "")
+        label, dropped, off, main = named(tag, found.group(3) or "")
         if tag == "br":
             held.append(" ")
             continue
@@ -120,7 +178,7 @@ def parsed(page: str) -> Iterator[tuple[tuple[str, ...], bool, int, str | None]]
                 continue
             at = end.end() if end else len(page)
             continue
-        if tag in INLINE and not off and not found.group(1):
+        if tag in INLINE and not off and not dropped and not found.group(1):
             continue
         if found.group(1):
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
@@ -128,20 +186,19 @@ def parsed(page: str) -> Iterator[tuple[tuple[str, ...], bool, int, str | None]]
                 continue
             yield from block()
             if depth >= 0:
-                leave(depth)
+                del stack[depth:]
             continue
         yield from block()
         if tag in VOID:
             continue
         if tag not in INLINE and stack and stack[-1][0] == "p":
-            leave(len(stack) - 1)
+            stack.pop()
         closes = CLOSES.get(tag)
         while closes and stack and stack[-1][0] in closes:
-            leave(len(stack) - 1)
-        if main and not any(s[2] for s in stack):
-            mains.append(len(stack))
-        stack.append((tag, label, off))
-        yield (*state(), None)
+            stack.pop()
+        elements.append(Element(inner(), label, dropped, off, main))
+        stack.append((tag, len(elements) - 1))
+        yield inner(), None
     yield from block()
 
 

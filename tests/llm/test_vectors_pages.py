@@ -107,6 +107,20 @@ def test_template_goes_before_the_article_element(spark):
     assert found == {k: f"Title {k}\n\n{'text ' * 9}{k}" for k in range(4)} | {10 + k: f"{'text ' * 9}{k}" for k in range(4)}
 
 
+def test_wrappers_named_as_boilerplate(spark):
+    """A name alone drops no element around the article, and still drops comments and adverts."""
+    text, aside = "text " * 9, "<div class='comments'><p>first</p></div><div class='ad'>buy</div>"
+    bodies = [f"<div class='page has-sidebar'><p>{text}</p>{aside}</div>", f"<div id='post-with-comments'><article>{text}{aside}</article></div>",
+              f"<div class='teasers'><p>{'more ' * 30}</p></div><div class='no-sidebar'><main>{text}</main></div>{aside}",
+              f"<article>{text}</article><div class='comments'><p>{'first ' * 20}</p></div>",
+              f"<div>{text}</div><div class='comments'><article>a</article><article>b</article></div>"]
+    rows = [(k, f"http://h{k}.example/", f"<body>{body}</body>") for k, body in enumerate(bodies)]
+    rows += [(10 + k, f"http://i.example/{k}", f"<body><div class='page has-sidebar'>{aside}<div><p>{k} {text}</p></div></div></body>")
+             for k in range(3)]
+    found = {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()}
+    assert found == {k: text.strip() for k in range(5)} | {10 + k: f"{k} {text}".strip() for k in range(3)}
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_runs(spark, name):
     rows = catalog.QUERIES[name](spark, SF)
