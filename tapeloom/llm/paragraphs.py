@@ -12,6 +12,8 @@ paragraphs always meet. A set of fewer than four shingles cannot be within 0.8 o
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -129,7 +131,8 @@ def repeated_paragraphs(
         "items",
     )
     # Below this many shingles no different set reaches the threshold.
-    least = int(np.ceil(threshold / (1 - threshold))) if threshold < 1 else 1 << 30
+    ratio = Fraction(str(threshold))
+    least = ceil(ratio / (1 - ratio)) if ratio < 1 else 1 << 30
     bands_of = banded(items.filter(F.col("shingles") >= least), band_rows)
     lowest = (
         bands_of.groupBy("bucket").agg(F.count("*").alias("n"), F.min("item").alias("root")).filter("n > 1")

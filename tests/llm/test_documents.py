@@ -327,6 +327,14 @@ def test_paragraphs_brute_force(spark, copies):
         assert row.score == "x" and row.text_key == "y"
 
 
+def test_paragraphs_of_eight_and_nine_words(spark):
+    """Four shingles of five in common are exactly the threshold."""
+    line = "one two three four five six seven eight"
+    rows = [(1, line), (2, f"{line} nine"), (3, "a b c d e f g h"), (4, "zero a b c d e f g h"), (5, "p q r s t u v w x"), (6, "p q r s t u v")]
+    found = {r.doc_id: r._removed for r in paragraphs.without_repeats(docs(spark, rows)).collect()}
+    assert found == {1: None, 2: [0], 3: None, 4: [0], 5: None, 6: None}
+
+
 def test_paragraph_odd_rows(spark):
     line = "a line of five words"
     rows = [*ODD, (8, f"{line}\nshort\n{line}"), (9, f"short\n{line}"), (9, f"short\n{line}")]
