@@ -50,7 +50,8 @@ def in_blocks(rows: DataFrame, key: str, item: str, blocks: Column) -> DataFrame
     """Rows of a group cut into `blocks`, once for each pair of blocks that the item's block is in.
 
     `half` is 0 in the lower block of a pair and 1 in the upper one; the pair of a block with
-    itself has half 0 only. `meet` is the hash that brings a pair of blocks together.
+    itself has half 0 only, and `same` is true in it. `meet` is the hash that brings a pair of
+    blocks together.
     """
     own = F.pmod(F.xxhash64(F.lit(11), item), F.col("_blocks")).cast("int")
     out = rows.withColumn("_blocks", F.ceil(blocks).cast("int")).withColumn("_own", own)
@@ -59,6 +60,7 @@ def in_blocks(rows: DataFrame, key: str, item: str, blocks: Column) -> DataFrame
     return (
         out.withColumn("meet", F.xxhash64(F.col(key), low, high))
         .withColumn("half", F.when((low != high) & (F.col("_own") == high), 1).otherwise(0))
+        .withColumn("same", low == high)
         .drop("_blocks", "_own", "_other")
     )
 
@@ -221,7 +223,7 @@ def exact(rows: DataFrame, threshold: float) -> DataFrame:
         meet, half, items, copies = (
             part.column(c).to_numpy() for c in ("meet", "half", "item", "copies")
         )
-        raw = part.column("hashes")
+        raw, same = part.column("hashes"), part.column("same").to_numpy()
         edges = edges_of(meet)
         for start, end in zip(edges[:-1].tolist(), edges[1:].tolist()):
             if end - start < 2:
@@ -229,10 +231,12 @@ def exact(rows: DataFrame, threshold: float) -> DataFrame:
             # A repeated row of a document has brought its set twice.
             once = np.unique(np.column_stack((half[start:end], items[start:end])), axis=0, return_index=True)[1]
             once += start
-            if len(once) < 2:
+            border = int(np.searchsorted(half[once], 1))
+            # Two blocks of which one is empty have no pairs; each meets itself elsewhere.
+            if len(once) < 2 or not (same[start] or 0 < border < len(once)):
                 continue
+            border %= len(once)
             sets = [np.frombuffer(raw[int(r)].as_buffer(), dtype="<u8") for r in once]
-            border = int(np.searchsorted(half[once], 1)) % len(once)
             both = shared_counts(sets, border)
             sizes = np.array([len(s) for s in sets])
             union = sizes[: both.shape[0], None] + sizes[None, border:] - both
@@ -256,7 +260,7 @@ def exact(rows: DataFrame, threshold: float) -> DataFrame:
 
     blocks = F.greatest(F.col("members") / BLOCK, F.col("total") / BLOCK_HASHES)
     dealt = in_blocks(rows, "component", "item", blocks).select(
-        "meet", "half", "item", "copies", "hashes"
+        "meet", "half", "same", "item", "copies", "hashes"
     )
     return over_groups(dealt, verify, "item bigint, links bigint, root bigint")
 

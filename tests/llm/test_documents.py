@@ -289,6 +289,22 @@ def test_hot_buckets_meet_in_blocks(spark, copies, monkeypatch):
     assert [found[i].n_links for i, _ in rows] == [links[k] for k in range(len(rows))]
 
 
+def test_few_long_members_in_many_blocks(spark, words, monkeypatch):
+    """Blocks by the size of the sets leave most blocks empty; a pair still counts once."""
+    from tapeloom.llm import similar
+
+    monkeypatch.setattr(similar, "BLOCK_HASHES", 64)
+    rng = random.Random(5)
+    rows = []
+    for members in (2, 3, 2, 3, 3):
+        text = rng.choices(words, k=300)
+        rows += [" ".join([*text, f"end{k}"]) for k in range(members)]
+    rows = list(enumerate(rows))
+    links, root = classes_of([shingled(t) for _, t in rows])
+    found = {r.doc_id: (r.n_links, r.class_id) for r in near.near_duplicates(docs(spark, rows)).collect()}
+    assert found == {i: (links[i], root[i]) for i, _ in rows} and set(links.values()) == {1, 2}
+
+
 def test_near_duplicates_odd_rows(spark):
     found = sorted(
         ((r.doc_id, r.class_id, r.n_links) for r in near.near_duplicates(docs(spark, ODD)).collect()),
