@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tapeloom.llm import bpe, decontaminate, htmltext, langid, near, paragraphs, quality, substrings, tokenfile, topk
+from tapeloom.llm import (
+    bitsliced, bpe, decontaminate, htmltext, langid, near, paragraphs, quality, substrings, tokenfile, topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_langid": langid.op1_langid,
@@ -19,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": decontaminate.op8_decontaminate,
     "op9_paragraph_dedup": paragraphs.op9_paragraph_dedup,
     "op10_tokenfile": tokenfile.op10_tokenfile,
+    "op11_lexical_search": bitsliced.op11_lexical_search,
 }
 
 ORACLE: dict[str, str] = {
     "op5_maxscore": topk.ORACLE,
     "op7_ngram_join": near.ORACLE,
     "op9_paragraph_dedup": paragraphs.ORACLE,
+    "op11_lexical_search": bitsliced.ORACLE,
 }
