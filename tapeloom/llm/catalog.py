@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tapeloom.llm import (
-    bitsliced, bpe, decontaminate, htmltext, langid, near, paragraphs, quality, substrings, tokenfile, topk,
+    bitsliced, bpe, decontaminate, htmltext, langid, near, paragraphs, prefixtree, quality, substrings,
+    tensored, tokenfile, topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_paragraph_dedup": paragraphs.op9_paragraph_dedup,
     "op10_tokenfile": tokenfile.op10_tokenfile,
     "op11_lexical_search": bitsliced.op11_lexical_search,
+    "op12_prefix_trie": prefixtree.op12_prefix_trie,
+    "op13_tensored_dedup": tensored.op13_tensored_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -29,4 +32,6 @@ ORACLE: dict[str, str] = {
     "op7_ngram_join": near.ORACLE,
     "op9_paragraph_dedup": paragraphs.ORACLE,
     "op11_lexical_search": bitsliced.ORACLE,
+    "op12_prefix_trie": prefixtree.ORACLE,
+    "op13_tensored_dedup": tensored.ORACLE,
 }
