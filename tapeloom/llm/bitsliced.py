@@ -30,15 +30,17 @@ TOP = 10
 #: Occurrences that a term is entered for; beyond the last one only the document's length bounds it.
 LEVELS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 64, 128], dtype=np.int64)
 #: Hashes of an entry, bits of a signature per entry (then up to a power of two), its widths.
-HASHES, BITS_PER_ENTRY = 4, 8
+HASHES, BITS_PER_ENTRY = 5, 16
 NARROWEST, WIDEST = 1 << 8, 1 << 20
 #: Bits of a shard, and documents in it at most.
 SHARD_BITS, SHARD_DOCS = 1 << 22, 4096
+#: Documents with the best bounds that are scored for a threshold, in places of the result.
+SEEDS = 4
 #: Copies of a block of items, so that no task meets all shards of a block.
 SALTS = 16
 #: Item terms in a block of items, on average; bound cells computed in one numpy call.
 BLOCK_TERMS = 8192
-CELLS = 1 << 22
+CELLS = 1 << 21
 TEXT_BLOCK = 2 << 20
 #: Term counts that a task holds before it passes them on.
 HELD_TERMS = 1 << 20
@@ -428,11 +430,11 @@ def search(
     shards = built.filter("kind = 'shard'")
 
     bests = bounded(
-        shards, blocks, n_blocks, n_docs, n_terms, lambda: BestBounds(k, id_arrow),
+        shards, blocks, n_blocks, n_docs, n_terms, lambda: BestBounds(SEEDS * k, id_arrow),
         f"block int, at int, bound bigint, doc_id {id_type}, text_key bigint",
     )
     by_bound = Window.partitionBy("block", "at").orderBy(F.desc("bound"), "doc_id", "text_key")
-    first = bests.withColumn("nth", F.row_number().over(by_bound)).filter(F.col("nth") <= k)
+    first = bests.withColumn("nth", F.row_number().over(by_bound)).filter(F.col("nth") <= SEEDS * k)
     by_score = Window.partitionBy("block", "at").orderBy(F.desc("score"), "doc_id")
     reached = (
         rescored(first, rows, blocks, n_docs, n_terms)
