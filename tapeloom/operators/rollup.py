@@ -1,7 +1,8 @@
 """Minute / hourly / daily price and volume rollups.
 
 One pass over the trades builds the minute state; hours and days come from that much
-smaller table. The state of two runs merges exactly, first and last price included.
+smaller table. The state of two runs merges exactly, first and last price and the sums of
+prices and quantities included: none of them depends on the order of rows or runs.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapeloom import schemas
-from tapeloom.functions import ordering, times
+from tapeloom.functions import exactsum, ordering, times
 
 GRAINS = tuple(schemas.GRAINS)
 
@@ -27,8 +28,8 @@ def _measures() -> list[Column]:
     return [
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.sum("price").alias("price_sum"),
-        F.sum("quantity").alias("volume"),
+        *exactsum.sums("price", "price"),
+        *exactsum.sums("quantity", "volume"),
         F.count(F.lit(1)).alias("trade_count"),
         F.sum(F.col("triggered_notification").cast("bigint")).alias("notifications_triggered"),
     ]
@@ -61,7 +62,12 @@ def minute_state(trades: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
             *by,
             "symbol",
             "minute_start",
-            *_SUMMED,
+            "min_price",
+            "max_price",
+            *exactsum.carried("price"),
+            *exactsum.carried("volume"),
+            "trade_count",
+            "notifications_triggered",
             ordering.key_time("first_key", "minute_start").alias("first_time"),
             ordering.key_id("first_key", "id_high").alias("first_id"),
             "first_price",
@@ -73,27 +79,17 @@ def minute_state(trades: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-_SUMMED = [
-    "min_price",
-    "max_price",
-    "price_sum",
-    "volume",
-    "trade_count",
-    "notifications_triggered",
-]
-
-
 def merge_states(states: DataFrame | Iterable[DataFrame], by: tuple[str, ...] = ()) -> DataFrame:
     """One state row per (symbol, minute) from the rows of any number of runs."""
     if not isinstance(states, DataFrame):
         states = reduce(DataFrame.unionByName, states)
     first = ordering.first_order("first_time", "first_id")
     last = ordering.last_order("last_time", "last_id")
-    return states.groupBy(*by, "symbol", "minute_start").agg(
+    merged = states.groupBy(*by, "symbol", "minute_start").agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
-        F.sum("price_sum").alias("price_sum"),
-        F.sum("volume").alias("volume"),
+        *exactsum.merged("price"),
+        *exactsum.merged("volume"),
         F.sum("trade_count").alias("trade_count"),
         F.sum("notifications_triggered").alias("notifications_triggered"),
         F.min("first_time").alias("first_time"),
@@ -103,6 +99,9 @@ def merge_states(states: DataFrame | Iterable[DataFrame], by: tuple[str, ...] =
         F.max_by("last_id", last).alias("last_id"),
         F.max_by("last_price", last).alias("last_price"),
     )
+    small = {c: exactsum.carried(c) for c in ("price", "volume")}
+    columns = [c for c in merged.columns if c not in {n for name in small for n in exactsum.names(name)}]
+    return merged.select(*columns, *small["price"], *small["volume"])
 
 
 def publish(state: DataFrame, grain: str, by: tuple[str, ...] = ()) -> DataFrame:
@@ -118,8 +117,8 @@ def publish(state: DataFrame, grain: str, by: tuple[str, ...] = ()) -> DataFrame
         rows = state.groupBy(*by, "symbol", bucket(grain, "minute_start")).agg(
             F.min("min_price").alias("min_price"),
             F.max("max_price").alias("max_price"),
-            F.sum("price_sum").alias("price_sum"),
-            F.sum("volume").alias("volume"),
+            *exactsum.merged("price"),
+            *exactsum.merged("volume"),
             F.sum("trade_count").alias("trade_count"),
             F.sum("notifications_triggered").alias("notifications_triggered"),
             F.min_by("first_price", at).alias("first_price"),
@@ -132,8 +131,8 @@ def publish(state: DataFrame, grain: str, by: tuple[str, ...] = ()) -> DataFrame
         name,
         "min_price",
         "max_price",
-        (F.col("price_sum") / F.col("trade_count")).alias("avg_price"),
-        "volume",
+        (exactsum.total("price") / F.col("trade_count")).alias("avg_price"),
+        exactsum.total("volume").alias("volume"),
         "trade_count",
         "notifications_triggered",
         "first_price",
@@ -162,11 +161,22 @@ def merge_partials(rows: DataFrame, grain: str) -> DataFrame:
     lake's merged reader has them, from the minute state.
     """
     name = schemas.GRAINS[grain][1]
-    return rows.groupBy("symbol", "date", name).agg(
+    merged = rows.groupBy("symbol", "date", name).agg(
         F.min("min_price").alias("min_price"),
         F.max("max_price").alias("max_price"),
-        (F.sum(F.col("avg_price") * F.col("trade_count")) / F.sum("trade_count")).alias("avg_price"),
-        F.sum("volume").alias("volume"),
+        *exactsum.sums(F.col("avg_price") * F.col("trade_count"), "price"),
+        *exactsum.sums("volume", "volume"),
         F.sum("trade_count").alias("trade_count"),
         F.sum("notifications_triggered").alias("notifications_triggered"),
     )
+    return merged.select(
+        "symbol",
+        "date",
+        name,
+        "min_price",
+        "max_price",
+        (exactsum.total("price") / F.col("trade_count")).alias("avg_price"),
+        exactsum.total("volume").alias("volume"),
+        "trade_count",
+        "notifications_triggered",
+    )

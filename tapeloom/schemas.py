@@ -60,6 +60,16 @@ ENVELOPE = T.StructType(
     ]
 )
 
+# What an envelope says about its payload; the type is the table's name.
+ABOUT = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("subscribers", T.ArrayType(T.StringType())),
+        T.StructField("source", T.StringType()),
+        T.StructField("created_at", T.StringType()),
+    ]
+)
+
 CURATED = T.StructType(
     [
         T.StructField("symbol", T.StringType()),
@@ -145,6 +155,12 @@ def rollup(grain: str) -> T.StructType:
     )
 
 
+def _sum(name: str) -> list[T.StructField]:
+    """Columns of a sum that does not depend on the order of rows (see `exactsum`)."""
+    limbs = [T.StructField(f"{name}_{limb}", T.LongType()) for limb in ("3", "2", "1", "0")]
+    return [*limbs, T.StructField(f"{name}_far", T.DoubleType())]
+
+
 def minute_state() -> T.StructType:
     """Mergeable per-minute state, the source of every published rollup.
 
@@ -156,8 +172,8 @@ def minute_state() -> T.StructType:
             T.StructField("minute_start", T.TimestampType()),
             T.StructField("min_price", T.DoubleType()),
             T.StructField("max_price", T.DoubleType()),
-            T.StructField("price_sum", T.DoubleType()),
-            T.StructField("volume", T.DoubleType()),
+            *_sum("price"),
+            *_sum("volume"),
             T.StructField("trade_count", T.LongType()),
             T.StructField("notifications_triggered", T.LongType()),
             T.StructField("first_time", T.LongType()),
