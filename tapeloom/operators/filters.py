@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeloom import schemas
+from tapeloom.functions import patterns
 
 # Longer id lists go through a semi join instead of a literal list in the plan.
 LITERAL_LIST = 1000
@@ -123,13 +124,7 @@ def time_range(name: str, bounds: TimeRange) -> list[Column]:
 
 def any_matches(names: Iterable[str], pattern: str | None) -> list[Column]:
     """Unanchored, case-insensitive search in any of the columns; empty = no filter."""
-    if not pattern:
-        return []
-    hits = [F.col(name).rlike("(?i)" + pattern) for name in names]
-    either = hits[0]
-    for hit in hits[1:]:
-        either = either | hit
-    return [either]
+    return patterns.any_matches([F.col(name) for name in names], pattern) if pattern else []
 
 
 def order_columns(keys: Iterable[SortKey], known: Iterable[str]) -> list[Column]:
