@@ -10,7 +10,8 @@ import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,7 @@ from tapeloom.operators import alerts, curate, filters, matching, purge, rollup
 from tapeloom.operators.filters import NotificationFilter, NumericRange, SortKey, TimeRange, TradeFilter
 from tapeloom.plans import lifecycle, tape
 from tapeloom.session import work_dir
-from tapeloom.sources import envelopes, frames, lake
+from tapeloom.sources import envelopes, frames, lake, upload
 from tapeloom.sources.hot import HotStore
 from tapeloom.streaming import ingest
 from tapeloom.streaming import rollups as live
@@ -839,11 +840,10 @@ def _(spark, sf):
     notices = tape.notifications(spark, sf).withColumn("event_time", stray)
     hot.append("a", {lifecycle.TRADES: tape.trades(spark, sf), lifecycle.NOTIFICATIONS: notices})
     lifecycle.drain(hot, paths, "run-1")
-    runs = lifecycle.committed_runs(hot)
-    done = lake.read_curated(spark, paths.curated, runs)
+    done = lake.read_curated(spark, paths.curated, hot.runs)
     places = {
-        "raw_trades": lake.read_raw_trades(spark, paths.raw_trades, runs=runs),
-        "raw_notifications": lake.read_raw_notifications(spark, paths.raw_notifications, runs=runs),
+        "raw_trades": lake.read_raw_trades(spark, paths.raw_trades, runs=hot.runs),
+        "raw_notifications": lake.read_raw_notifications(spark, paths.raw_notifications, runs=hot.runs),
         "curated": done,
         "flagged": done.where("triggered_notification"),
         "hot_trades": hot.scan_trades(),
@@ -868,7 +868,7 @@ def _(spark, sf):
     for part in range(3):
         hot.append(f"s{part}", {lifecycle.TRADES: trades.where(F.col("aggregate_id") % 3 == part)})
         lifecycle.drain(hot, paths, f"run-{part}")
-    return lake.read_raw_trades(spark, paths.raw_trades).withColumn("place", F.lit("raw"))
+    return lake.read_raw_trades(spark, paths.raw_trades, runs=hot.runs).withColumn("place", F.lit("raw"))
 
 
 @query("flag_doubled_tape", FLAGGED + " select trade_id, triggered_notification from flagged")
@@ -876,15 +876,15 @@ def _(spark, sf):
     """Every trade delivered and stored twice: one copy stays, one is flagged."""
     hot = HotStore(spark, work_dir(spark, "hot"))
     trades, notices = tape.trades(spark, sf), tape.notifications(spark, sf)
-    for segment in ("a", "b"):
-        hot.append(segment, {lifecycle.TRADES: trades, lifecycle.NOTIFICATIONS: notices})
+    for batch in ("a", "b"):
+        hot.append(batch, {lifecycle.TRADES: trades, lifecycle.NOTIFICATIONS: notices})
     once = envelopes.dedup_events(hot.scan_trades(), "trade_id")
     flagged = matching.flag_trades(once, hot.scan_notifications())
     return flagged.select("trade_id", "triggered_notification")
 
 
 def _hot_tape(spark: SparkSession, sf: str) -> HotStore:
-    """Trades and notifications in a hot store of several segments."""
+    """Trades and notifications in a hot store of several batches."""
     hot = HotStore(spark, work_dir(spark, "hot"))
     trades, notices = tape.trades(spark, sf), tape.notifications(spark, sf)
     number = F.col("trade_id").cast("bigint")
@@ -921,6 +921,117 @@ def _(spark, sf):
     return filters.find_notifications(notices, NotificationFilter(symbol="ERRORUSDT"))
 
 
+@query("hot_id_lookup", TRADES + " select * from trades where trade_id = (select max(trade_id) from trades)")
+def _(spark, sf):
+    """A trade by its id, which the files answer by Bloom filter."""
+    wanted = tape.trades(spark, sf).agg(F.max("trade_id")).first()[0]
+    return filters.find_trades(_hot_tape(spark, sf).scan_trades(), TradeFilter(trade_id=wanted))
+
+
+@query(
+    "hot_merged_range",
+    TRADES + " select * from trades where price > 9000 and quantity < 50 and trade_time >= timestamp '2024-01-10'",
+)
+def _(spark, sf):
+    """Ranges of three columns on a hot store that was merged in Z-order."""
+    hot = _hot_tape(spark, sf)
+    lifecycle.compact(hot, lifecycle.TRADES, "merge")
+    wanted = TradeFilter(
+        price=NumericRange(gt=9000),
+        quantity=NumericRange(lt=50),
+        trade_time=TimeRange(after=dt.datetime(2024, 1, 10)),
+    )
+    return filters.find_trades(hot.scan_trades(), wanted)
+
+
+@query(
+    "hot_deletes",
+    TRADES + " select * from trades where not (price * quantity > 200000) and aggregate_id % 100 <> 7",
+)
+def _(spark, sf):
+    """A long and a short list of ids deleted from the hot store."""
+    hot, trades = _hot_tape(spark, sf), tape.trades(spark, sf)
+    lifecycle.delete_trades(hot, alerts.detect_alerts(trades, 200_000), "long")
+    lifecycle.delete_trades(hot, trades.where("aggregate_id % 100 = 7"), "short")
+    return hot.scan_trades()
+
+
+@query(
+    "lake_compaction",
+    TRADES + f""" select 'raw' as place, symbol, trade_id as id, price, trade_time from trades
+  union all select 'curated', symbol, '', price, date_trunc('millisecond', trade_time) from trades
+  union all select 'rollup', symbol, cast(count(*) as varchar), max(price), date_trunc('hour', trade_time)
+  from trades group by symbol, date_trunc('hour', trade_time)""",
+)
+def _(spark, sf):
+    """Three runs over the same days, packed into one: the same rows in a third of the folders."""
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    paths = lifecycle.LakePaths(work_dir(spark, "lake"))
+    trades = tape.trades(spark, sf)
+    for part in range(3):
+        hot.append(f"s{part}", {lifecycle.TRADES: trades.where(F.col("aggregate_id") % 3 == part)})
+        lifecycle.drain(hot, paths, f"run-{part}")
+    lifecycle.compact_lake(hot.runs, paths, "2024-01-20", "packed")
+    raw = lake.read_raw_trades(spark, paths.raw_trades, runs=hot.runs)
+    done = lake.read_curated(spark, paths.curated, hot.runs)
+    hours = lake.read_merged_rollups(spark, paths.analytics, "hourly", hot.runs)
+    return (
+        raw.select(F.lit("raw").alias("place"), "symbol", F.col("trade_id").alias("id"), "price", "trade_time")
+        .unionByName(done.select(F.lit("curated").alias("place"), "symbol", F.lit("").alias("id"), "price", "trade_time"))
+        .unionByName(
+            hours.select(
+                F.lit("rollup").alias("place"), "symbol", F.col("trade_count").cast("string").alias("id"),
+                F.col("max_price").alias("price"), F.col("hour_start").alias("trade_time"),
+            )
+        )
+    )
+
+
+@query("curated_file_order", FLAGGED + """ select symbol, strftime(trade_time, '%Y-%m-%d') as date, count(*) as rows,
+  true as in_order from flagged group by 1, 2""")
+def _(spark, sf):
+    """Whether each file of the curated trades is in the order of trade time."""
+    path = work_dir(spark, "curated")
+    lake.write_curated(curate.curated(curate.processed(_flagged(spark, sf))), path, "run-1")
+    rows = lake.curated_rows(spark, path).select("symbol", "date", "trade_time", "_metadata.file_path", "_metadata.row_index")
+    before = F.lag("trade_time").over(Window.partitionBy("file_path").orderBy("row_index"))
+    ordered = rows.withColumn("ordered", F.coalesce(before <= F.col("trade_time"), F.lit(True)))
+    return ordered.groupBy("symbol", "date").agg(F.count("*").alias("rows"), F.every("ordered").alias("in_order"))
+
+
+_DEAR = "with " + _trades_sql() + ", flagged as (select *, false as triggered_notification from trades where price > 20000)"
+
+
+@query(
+    "empty_buckets",
+    _DEAR + """ select s.symbol, cast(h.hour_start as timestamp) as hour_start
+  from (select distinct symbol from flagged) s,
+       (select unnest(generate_series(date_trunc('hour', lo), date_trunc('hour', hi), interval 1 hour)) as hour_start
+        from (select min(trade_time) as lo, max(trade_time) as hi from flagged)) h
+  where not exists (select 1 from flagged f where f.symbol = s.symbol and date_trunc('hour', f.trade_time) = h.hour_start)""",
+)
+def _(spark, sf):
+    """Hours of a symbol between the first and the last trade that have no row in the rollup."""
+    dear = tape.trades(spark, sf).where("price > 20000").withColumn("triggered_notification", F.lit(False))
+    hours = rollup.rollup(dear, "hourly").select("symbol", "hour_start")
+    first, last = hours.agg(F.min("hour_start"), F.max("hour_start")).first()
+    if first is None:
+        return hours
+    span = F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 hour"))
+    every = hours.select("symbol").distinct().select("symbol", F.explode(span).alias("hour_start"))
+    return every.join(hours, ["symbol", "hour_start"], "left_anti")
+
+
+@query("upload_rollups", FLAGGED + _rollup_sql("hourly"))
+def _(spark, sf):
+    """Rollups through a data source writer over the caller's uploader, and read back."""
+    base = work_dir(spark, "uploads")
+    name = upload.register(spark, upload.FolderUploader(base), "tape_upload")
+    rows = _rounded(rollup.rollup(_flagged(spark, sf), "hourly"))
+    upload.upload(rows, name, "hourly", "run-1", maxRecordsPerFile="500")
+    return upload.read_uploaded(spark, base, "hourly", schemas.rollup("hourly"))
+
+
 # --- streaming -------------------------------------------------------------------------
 
 
@@ -1031,7 +1142,7 @@ def _(spark, sf):
         lifecycle.drain(hot, paths)
         for other in others:
             other.result()
-    archived = lake.read_raw_trades(spark, paths.raw_trades)
+    archived = lake.read_raw_trades(spark, paths.raw_trades, runs=hot.runs)
     both = archived.unionByName(hot.scan_trades())
     return both.select("trade_id", "symbol", "price", "quantity", "trade_time")
 
@@ -1042,6 +1153,105 @@ def _(spark, sf):
     return hot.scan_notifications()
 
 
+@query(
+    "stream_envelopes",
+    NOTICES
+    + """ select sha256('BinanceTradeEvent#' || trade_id) as id, 'BinanceTradeEvent' as type, 'then' as created_at,
+    'WebSocketStreamServer' as source, 'consumer.mongo,consumer.telegrambot' as subscribers, price from trades
+  union all select sha256('NotificationEvent#' || trade_id), 'NotificationEvent', 'then', 'TelegramBot',
+    'consumer.mongo', price from notifications""",
+)
+def _(spark, sf):
+    """Envelopes fanned out to the hot store, and what it holds of them."""
+    trades = tape.trades_from(_event_stream(spark, sf))
+    sent = envelopes.wrap_trades(trades, F.lit("then")).unionByName(
+        envelopes.wrap_notifications(alerts.build_notifications(trades), F.lit("then"))
+    )
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    handlers = {schemas.STORE_SUBSCRIBER: ingest.hot_handler(hot)}
+    ingest.start_fan_out(envelopes.to_wire(sent), handlers, work_dir(spark, "checkpoint")).awaitTermination()
+    both = hot.scan_envelopes(lifecycle.TRADES).unionByName(hot.scan_envelopes(lifecycle.NOTIFICATIONS))
+    return both.select(
+        "id", "type", "created_at", "source", F.concat_ws(",", "subscribers").alias("subscribers"),
+        F.get_json_object("event_data", "$.Price").cast("double").alias("price"),
+    )
+
+
+@query("stream_redelivery", _COPIES.replace("select subscriber, type, id from copies", "select subscriber, type, id, 1 as runs from copies"))
+def _(spark, sf):
+    """One of two handlers fails at first; when the batch is repeated the other does not run again."""
+    trades = tape.trades_from(_event_stream(spark, sf))
+    sent = envelopes.wrap_trades(trades, F.lit("-")).unionByName(
+        envelopes.wrap_notifications(alerts.build_notifications(trades), F.lit("-"))
+    )
+    out, checkpoint = work_dir(spark, "deliveries"), work_dir(spark, "checkpoint")
+    away = {schemas.ALERT_SUBSCRIBER}
+
+    def receive(subscriber: str):
+        def write(events: DataFrame, batch: str) -> None:
+            if subscriber in away:
+                away.clear()
+                raise OSError("no connection")
+            events.select("type", "id").write.mode("append").parquet(f"{out}/subscriber={subscriber}")
+
+        return write
+
+    handlers = {s: receive(s) for s in (schemas.STORE_SUBSCRIBER, schemas.ALERT_SUBSCRIBER)}
+    for _ in range(2):
+        try:
+            ingest.start_fan_out(envelopes.to_wire(sent), handlers, checkpoint).awaitTermination()
+        except StreamingQueryException:
+            pass
+    seen = spark.read.parquet(out).groupBy("subscriber", "type", "id")
+    return seen.agg(F.count("*").cast("int").alias("runs"))
+
+
+@query("stream_frames", _INGESTED + " select trade_id, symbol, price, quantity from trades")
+def _(spark, sf):
+    """Frame files pulled a few at a time into the hot store."""
+    folder = work_dir(spark, "frames")
+    frames.encode_frames(tape.trades(spark, sf)).repartition(4).write.text(folder)
+    source = frames.read_frames(spark, folder, streaming=True, maxFilesPerTrigger="1")
+    hot = HotStore(spark, work_dir(spark, "hot"))
+    sink = ingest.alert_table(work_dir(spark, "alerts"))
+    ingest.start_ingest(source, hot, work_dir(spark, "checkpoint"), sink).awaitTermination()
+    return hot.scan_trades().select("trade_id", "symbol", "price", "quantity")
+
+
+@query("periodic_drain", TRADES + " select * from trades")
+def _(spark, sf):
+    """What a periodic drain has brought to the lake."""
+    hot, paths = _hot_tape(spark, sf), lifecycle.LakePaths(work_dir(spark, "lake"))
+    lifecycle.drain_periodically(hot, paths, work_dir(spark, "checkpoint")).awaitTermination()
+    return lake.read_raw_trades(spark, paths.raw_trades, runs=hot.runs)
+
+
+@query(
+    "stream_upload_alerts",
+    TRADES + f" select trade_id, {_MESSAGE} as message from trades where price * quantity > 2000000",
+)
+def _(spark, sf):
+    """Alerts of a stream through a data source writer over the caller's uploader."""
+    base = work_dir(spark, "uploads")
+    name = upload.register(spark, upload.FolderUploader(base), "alert_upload")
+    found = alerts.alert_messages(tape.trades_from(_event_stream(spark, sf))).select("trade_id", "message")
+    writer = found.writeStream.format(name).option("table", "alerts")
+    writer = writer.option("checkpointLocation", work_dir(spark, "checkpoint"))
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return upload.read_uploaded(spark, base, "alerts", found.schema)
+
+
+@query("stream_late_rollup", "with " + _trades_sql() + ", flagged as (select *, false as triggered_notification from trades)" + _rollup_sql("hourly"))
+def _(spark, sf):
+    """Trades far later than the latest one still count: batches that each span all days."""
+    folder = work_dir(spark, "events")
+    tape.events(spark, sf).repartition(4, "event_id").write.parquet(folder)
+    events = spark.readStream.schema(tape.events(spark, sf).schema).option("maxFilesPerTrigger", "1").parquet(folder)
+    out = work_dir(spark, "states")
+    live.start_state_stream(tape.trades_from(events), out, work_dir(spark, "checkpoint")).awaitTermination()
+    return _rounded(lake.read_merged_rollups(spark, out, "hourly"))
+
+
 @query("stream_dedup", TRADES + " select trade_id, symbol from trades")
 def _(spark, sf):
     """Every event delivered twice."""

@@ -1,13 +1,17 @@
 """Hot store to lake: snapshot, archive, curate, roll up, purge.
 
-A run claims the live segments in the hot log before it reads them, so a run that died is
-resumed over exactly the rows it had, and overwrites its own output. Deleting is one log
-commit at the end; rows are then in the lake and out of the hot store, never neither.
+A run notes the partitions it is going to take before it reads them, so a run that died is
+repeated over exactly the rows it had, and overwrites its own output. One write to the table
+of runs finishes it: with that its output is in the lake and its input out of the hot store
+for everyone who reads with `hot.runs`, never neither and never both.
+
+Feeds write at any time; runs, deletes and compactions are started one after another.
 """
 
 from __future__ import annotations
 
 import time
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,11 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapeloom import schemas
+from tapeloom.functions import zorder
 from tapeloom.operators import filters, matching, purge
 from tapeloom.operators.curate import curated, processed
-from tapeloom.operators.rollup import GRAINS, minute_state, publish
+from tapeloom.operators.rollup import GRAINS, merge_states, minute_state, publish
+from tapeloom.session import at_most, session_conf
 from tapeloom.sources import envelopes, lake
-from tapeloom.sources.hot import LOG, HotStore
+from tapeloom.sources.hot import PARTS, HotStore
+from tapeloom.sources.runs import Runs
 
 TRADES = schemas.TRADE_EVENT
 NOTIFICATIONS = schemas.NOTIFICATION_EVENT
@@ -38,8 +45,7 @@ class LakePaths:
             "raw_notifications": "raw/notifications",
             "curated": "curated",
             "analytics": "analytics",
-            "matches": "runs/matches",
-            "staged": "runs/trades",
+            "working": "working",
         }
         if name not in folders:
             raise AttributeError(name)
@@ -51,29 +57,38 @@ def new_run_id() -> str:
 
 
 def committed_runs(hot: HotStore) -> list[str]:
-    """Runs whose output in the lake is final."""
-    return sorted({r["run"] for r in hot.log() if r["action"] == "done"})
+    """Names of the finished runs; readers of the lake take `hot.runs` itself."""
+    return sorted(r["run"] for r in hot.runs.finished().collect())
 
 
 def pending_runs(hot: HotStore) -> list[str]:
-    """Runs that claimed segments and did not finish."""
-    log = hot.log()
-    done = {r["run"] for r in log if r["action"] == "done"}
-    return sorted({r["run"] for r in log if r["action"] == "claim"} - done)
+    """Runs that were begun and did not finish."""
+    return hot.runs.pending()
+
+
+def _free_parts(hot: HotStore, table: str) -> DataFrame:
+    """Live partitions of a table that no begun run is going to take."""
+    parts = hot.live_parts(table).select(
+        F.lit(table).alias("table"), F.col("run").alias("of_run"), F.col("batch").alias("part")
+    )
+    return parts.join(hot.runs.held().drop("run"), ["table", "of_run", "part"], "left_anti")
 
 
-def _claim(hot: HotStore, run: str) -> dict[str, list[str]]:
-    """Segments of this run: those it claimed before, else all live ones that no run holds."""
-    mine = [r for r in hot.log() if r["run"] == run and r["action"] == "claim"]
-    found = [(r["run"], r["table"], r["segment"], "claim") for r in mine]
-    if not mine:
+def _plan(hot: HotStore, run: str) -> bool:
+    """Note what a new run takes: all free partitions; false if there are no trades."""
+    if not hot.runs.planned(run).isEmpty():
+        return True
+    trades = _free_parts(hot, TRADES)
+    if trades.isEmpty():
+        return False
+    # Notifications are written before the trades of their batch: listed later, none is missed.
+    hot.runs.plan(run, trades.unionByName(_free_parts(hot, NOTIFICATIONS)))
+    return True
 
-        def choose(log, held):
-            free = {t: [s for s in hot.live_segments(t, log) if (t, s) not in held] for t in (TRADES, NOTIFICATIONS)}
-            return [(run, t, s, "claim") for t, names in free.items() for s in names] if free[TRADES] else []
 
-        found = hot.claim(run, choose)
-    return {t: sorted(s for _, table, s, _ in found if table == t) for t in (TRADES, NOTIFICATIONS)}
+def _parts_of(planned: DataFrame, table: str) -> DataFrame:
+    found = planned.where(F.col("table") == table)
+    return found.select(F.col("of_run").alias("run"), F.col("part").alias("batch"))
 
 
 def archive_and_purge(
@@ -91,36 +106,30 @@ def archive_and_purge(
     at-least-once feed brings; without it a tape is taken as free of copies. `keep_notifications="first"` archives one
     notification per key, `"all"` every purged one. Notifications no trade of the run can
     meet stay hot. Repeating a finished run does nothing; repeating a broken one mends it.
-    The run writes beside the lake and moves its folders there at the end, so that readers
-    see finished runs only; what it needed on the way is then deleted.
     """
-    if run in committed_runs(hot):
-        return False
-    segments = _claim(hot, run)
-    if not segments[TRADES]:
+    if hot.runs.is_finished(run) or not _plan(hot, run):
         return False
+    planned = hot.runs.planned(run)
     spark = hot.spark
-    aside = LakePaths(f"{paths.base.rstrip('/')}/unfinished")
+    working = f"{paths.working}/run={run}"
 
-    stored = trades = hot.scan_trades(segments[TRADES])
-    notifications = hot.scan_notifications(segments[NOTIFICATIONS])
+    trades = hot.rows(TRADES, _parts_of(planned, TRADES))
+    notifications = hot.rows(NOTIFICATIONS, _parts_of(planned, NOTIFICATIONS))
+    stored = trades = trades.select(*[c for c in trades.columns if c not in PARTS])
+    notifications = notifications.select(*[c for c in notifications.columns if c not in PARTS])
     if dedup:
         trades = envelopes.dedup_events(trades, "trade_id")
-        notifications = notifications.distinct()
+        notifications = envelopes.dedup_events(notifications, *schemas.NOTIFICATION.names)
     if max_rows:
         trades = filters.oldest(trades, max_rows)
     if dedup or max_rows:
         # Four outputs read the run's trades; do the shuffle once.
-        staged = f"{aside.staged}/run={run}"
-        trades.write.mode("overwrite").parquet(staged)
-        trades = spark.read.schema(schemas.TRADE).parquet(staged)
+        trades.write.mode("overwrite").parquet(f"{working}/trades")
+        trades = spark.read.schema(trades.schema).parquet(f"{working}/trades")
 
     # Small against the tape and read by three outputs: kept as files, not recomputed.
-    matches_path = f"{aside.matches}/run={run}"
-    matching.match_notifications(trades, notifications, mode).write.mode("overwrite").parquet(
-        matches_path
-    )
-    matches = spark.read.parquet(matches_path)
+    matching.match_notifications(trades, notifications, mode).write.mode("overwrite").parquet(f"{working}/matches")
+    matches = spark.read.parquet(f"{working}/matches")
     if mode == "by_trade_id":
         met = notifications.join(matches.select("trade_id"), "trade_id", "left_semi")
         left = purge.purge_notifications_by_trade_id(notifications, matches)
@@ -130,33 +139,23 @@ def archive_and_purge(
         left = purge.purge_notifications_by_key(
             notifications, keys.withColumn("trade_id", F.lit(None).cast("string"))
         )
-    met = met.select(*notifications.columns)
+    met = met.select(*schemas.NOTIFICATION.names)
     if keep_notifications == "first":
         met = matching.first_per_key(met)
 
-    lake.archive_raw_trades(trades, aside.raw_trades, run)
-    lake.archive_raw_notifications(met, aside.raw_notifications, run)
+    lake.archive_raw_trades(trades.select(*schemas.TRADE.names), paths.raw_trades, run)
+    lake.archive_raw_notifications(met, paths.raw_notifications, run)
 
-    flagged = matching.flag_matched(trades, matches, stored=True)
-    lake.write_curated(curated(processed(flagged)), aside.curated, run)
+    flagged = matching.flag_matched(trades.select(*schemas.TRADE.names), matches, stored=True)
+    lake.write_curated(curated(processed(flagged)), paths.curated, run)
     tape = processed(flagged, keep=("aggregate_id",))
-    write_rollups(minute_state(tape), aside.analytics, run)
+    write_rollups(minute_state(tape), paths.analytics, run)
 
-    rest = {NOTIFICATIONS: left} if segments[NOTIFICATIONS] else {}
+    hot.write(NOTIFICATIONS, left, run, "rest")
     if max_rows:
-        rest[TRADES] = purge.purge_trades(stored, trades)
-    remaining = []
-    for table, rows in rest.items():
-        hot.write_segment(table, rows, f"rest-{run}")
-        if not hot.scan(table, [f"rest-{run}"]).isEmpty():
-            remaining.append((run, table, f"rest-{run}", "add"))
-    tables = [("raw_trades", ""), ("raw_notifications", ""), ("curated", "")]
-    for name, part in [*tables, *[("analytics", f"/{grain}") for grain in ("state", *GRAINS)]]:
-        lake.move_run(spark, getattr(aside, name) + part, getattr(paths, name) + part, run)
-    gone = [(run, t, s, "remove") for t, found in segments.items() for s in found]
-    hot.commit([*remaining, *gone, (run, "", "", "done")])
-    for folder in (aside.staged, aside.matches):
-        lake.delete_folder(spark, f"{folder}/run={run}")
+        hot.write(TRADES, purge.purge_trades(stored, trades), run, "rest")
+    hot.runs.finish(run, planned)
+    lake.delete_folder(spark, working)
     return True
 
 
@@ -205,20 +204,20 @@ def drain_periodically(
 ) -> StreamingQuery:
     """Drain now and then every `every` (e.g. "60 minutes") while events arrive.
 
-    The stream is the hot log: a new record means there may be something to drain. Without
-    `every` what is due is drained once, for an external scheduler.
+    The stream is that of the hot trades' files: a new one means there may be something to
+    drain. Without `every` what is due is drained once, for an external scheduler.
     """
     spark = hot.spark
-    if not hot.log():
-        # The stream needs the log's folder to exist.
-        hot.commit([("", "", "", "open")])
-    log = spark.readStream.schema(LOG).json(f"{hot.path}/log")
+    schema = hot.stored(TRADES).schema
+    # The stream needs the table's folder to exist.
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*PARTS).parquet(hot.table_path(TRADES))
+    arrived = spark.readStream.schema(schema).parquet(hot.table_path(TRADES))
 
-    def drain_batch(records: DataFrame, batch: int) -> None:
-        # A repeated batch needs no fixed run id: a broken run is on record in the hot log.
+    def drain_batch(events: DataFrame, batch: int) -> None:
+        # A repeated batch needs no fixed run id: a broken run is on record in the hot store.
         drain(hot, paths, **options)
 
-    writer = log.where(F.col("action") == "add").writeStream.foreachBatch(drain_batch)
+    writer = arrived.writeStream.foreachBatch(drain_batch)
     writer = writer.option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
@@ -226,45 +225,55 @@ def drain_periodically(
 
 # --- deletes and upkeep of the hot store -------------------------------------------------
 
+#: Ids that go to the files' Bloom filters as a list; longer lists are joined.
+LISTED_IDS = 500
 
-def _rewrite(hot: HotStore, table: str, hit: list[str], remove: Rewrite, run: str, segment: str) -> int:
-    """Replace these segments by what `remove` leaves of them, out of the reach of other runs."""
-    if not hit:
+
+def _rewrite(hot: HotStore, table: str, hit: DataFrame, remove: Rewrite, run: str, batch: str, clustered: bool = False) -> int:
+    """Replace the partitions `hit` (run, batch) by what `remove` leaves of them; returns how many."""
+    # Frozen: what a feed writes from here on is not part of it. One row a partition.
+    found = [(table, r["run"], r["batch"]) for r in hit.select(*PARTS).distinct().collect()]
+    if not found:
         return 0
-    hot.hold(run, table, hit)
-    try:
-        hot.replace(table, hit, remove(hot.scan(table, hit)), segment, run)
-    except BaseException:
-        # Nothing was swapped: the segments are free again.
-        hot.commit([(run, "", "", "done")])
-        raise
-    return len(hit)
+    parts = hot.runs.parts(found)
+    held = hot.runs.held().join(parts, ["table", "of_run", "part"], "left_semi").select("run").distinct()
+    holders = sorted(r["run"] for r in held.collect())
+    if holders:
+        raise RuntimeError(f"runs {holders} were begun over these rows; finish them first")
+    rows = hot.rows(table, _parts_of(parts, table))
+    hot.write(table, remove(rows.drop(*PARTS)), run, batch, clustered)
+    hot.runs.finish(run, parts)
+    return len(found)
+
+
+def with_ids(rows: DataFrame, ids: DataFrame, column: str = "trade_id") -> tuple[DataFrame, dict[str, str]]:
+    """Rows whose id is listed, and the settings to read them with.
+
+    A short list is a filter that files and their row groups answer by Bloom filter.
+    """
+    wanted = ids.select(column).distinct()
+    if not at_most(wanted, LISTED_IDS):
+        return rows.join(wanted, column, "left_semi"), {}
+    listed = [r[0] for r in wanted.collect() if r[0] is not None]
+    setting = {"spark.sql.parquet.pushdown.inFilterThreshold": str(LISTED_IDS)}
+    return rows.where(F.col(column).isin(listed)), setting
 
 
-def _segments_with(doomed: DataFrame) -> list[str]:
-    return sorted(r["segment"] for r in doomed.select("segment").distinct().collect())
+def _delete_by_id(hot: HotStore, table: str, ids: DataFrame, remove: Callable, run: str) -> int:
+    doomed, setting = with_ids(hot.rows(table), ids)
+    with session_conf(hot.spark, setting):
+        hit = doomed.select(*PARTS).distinct().collect()
+    hit = hot.spark.createDataFrame(hit, "run string, batch string")
+    return _rewrite(hot, table, hit, lambda rows: remove(rows, ids), run, "rest")
 
 
 def delete_trades(hot: HotStore, ids: DataFrame, run: str) -> int:
-    """Delete hot trades by `trade_id`; returns the number of rewritten segments."""
-    stored = hot.scan(TRADES, with_segment=True)
-    doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
-    return _rewrite(
-        hot, TRADES, _segments_with(doomed), lambda rows: purge.purge_trades(rows, ids), run, f"rest-{run}"
-    )
+    """Delete hot trades by `trade_id`; returns the number of rewritten partitions."""
+    return _delete_by_id(hot, TRADES, ids, purge.purge_trades, run)
 
 
 def delete_notifications_by_trade_id(hot: HotStore, ids: DataFrame, run: str) -> int:
-    stored = hot.scan(NOTIFICATIONS, with_segment=True)
-    doomed = stored.join(ids.select("trade_id"), "trade_id", "left_semi")
-    return _rewrite(
-        hot,
-        NOTIFICATIONS,
-        _segments_with(doomed),
-        lambda rows: purge.purge_notifications_by_trade_id(rows, ids),
-        run,
-        f"rest-{run}",
-    )
+    return _delete_by_id(hot, NOTIFICATIONS, ids, purge.purge_notifications_by_trade_id, run)
 
 
 def delete_notifications_by_key(hot: HotStore, keys: DataFrame, run: str) -> int:
@@ -272,16 +281,99 @@ def delete_notifications_by_key(hot: HotStore, keys: DataFrame, run: str) -> int
     return _rewrite(
         hot,
         NOTIFICATIONS,
-        hot.live_segments(NOTIFICATIONS),
+        hot.live_parts(NOTIFICATIONS),
         lambda rows: purge.purge_notifications_by_key(rows, keys),
         run,
-        f"rest-{run}",
+        "rest",
     )
 
 
 def compact(hot: HotStore, table: str, run: str) -> int:
-    """Merge the many small segments of streaming batches into one of well-sized files."""
-    segments = hot.live_segments(table)
-    if len(segments) > 1:
-        _rewrite(hot, table, segments, lambda rows: rows.hint("rebalance"), run, f"merged-{run}")
-    return len(segments)
+    """Merge the many small partitions of streaming batches into one of well-sized files.
+
+    Trades come out in Z-order of time, price and quantity, so a range of any of them skips
+    row groups, whichever others the query leaves open.
+    """
+    parts = hot.live_parts(table)
+    if at_most(parts, 1):
+        return parts.count()
+    if table == TRADES:
+        return _rewrite(hot, table, parts, zorder.clustered, run, "merged", clustered=True)
+    return _rewrite(hot, table, parts, lambda rows: rows.hint("rebalance"), run, "merged")
+
+
+def vacuum(hot: HotStore) -> int:
+    """Delete the files of partitions that finished runs took; returns how many.
+
+    To be called when no reader is still on an older view of the store.
+    """
+    gone = 0
+    for table in (TRADES, NOTIFICATIONS):
+        there = hot.stored(table).select(*PARTS).distinct()
+        for r in there.join(hot.runs.taken(table, "batch"), PARTS, "left_semi").collect():
+            gone += lake.delete_folder(hot.spark, f"{hot.table_path(table)}/run={r['run']}/batch={r['batch']}")
+    return gone
+
+
+# --- upkeep of the lake ------------------------------------------------------------------
+
+
+def compact_lake(runs: Runs, paths: LakePaths, before: str, run: str) -> int:
+    """Merge the folders that several runs wrote of one day into one, for days before `before`.
+
+    `before` is a date as text; such days are closed, few late rows come for them. Rows stay as
+    they are, but for the minute state, which is merged, and the rollups, which are published
+    from it anew. Until the one write that finishes the run, readers by `runs` see the old
+    folders (run, day), from then on the new ones. Returns how many were replaced.
+    """
+    spark = runs.spark
+    raw = {lake.RAW_TRADES: paths.raw_trades, lake.RAW_NOTIFICATIONS: paths.raw_notifications}
+    sources: dict[str, DataFrame] = {
+        table: lake.raw_lines(spark, path, table) for table, path in raw.items() if lake.exists(spark, path)
+    }
+    if lake.exists(spark, paths.curated):
+        sources[lake.CURATED] = lake.curated_rows(spark, paths.curated)
+    if lake.exists(spark, f"{paths.analytics}/{lake.STATE}"):
+        sources[lake.STATE] = lake.state_rows(spark, paths.analytics)
+    taken: list[tuple[str, str, str]] = []
+    for table, rows in sources.items():
+        live = runs.live(rows, table, "date").where(F.col("date") < before)
+        # One row a folder; a run that finishes meanwhile is left for the next time.
+        folders = [(r["run"], r["date"]) for r in live.select("run", "date").distinct().collect()]
+        runs_of = Counter(date for _, date in folders)
+        folders = [(of_run, date) for of_run, date in folders if runs_of[date] > 1]
+        if not folders:
+            continue
+        rows = live.join(spark.createDataFrame(folders, "run string, date string"), ["run", "date"], "left_semi")
+        if table in raw:
+            lake.write_raw_lines(rows, raw[table], run)
+        elif table == lake.CURATED:
+            lake.write_curated(rows.select(*schemas.CURATED.names), paths.curated, run)
+        else:
+            write_rollups(merge_states(rows.select(*schemas.minute_state().names)), paths.analytics, run)
+        names = (lake.STATE, *GRAINS) if table == lake.STATE else (table,)
+        taken += [(name, of_run, date) for name in names for of_run, date in folders]
+    if taken:
+        runs.finish(run, runs.parts(taken))
+    return len(taken)
+
+
+def vacuum_lake(runs: Runs, paths: LakePaths) -> int:
+    """Delete the folders of runs all of whose days a compaction has taken; returns how many."""
+    spark = runs.spark
+    tables = {
+        lake.RAW_TRADES: paths.raw_trades,
+        lake.RAW_NOTIFICATIONS: paths.raw_notifications,
+        lake.CURATED: paths.curated,
+        **{name: f"{paths.analytics}/{name}" for name in (lake.STATE, *GRAINS)},
+    }
+    gone = 0
+    for table, path in tables.items():
+        if not lake.exists(spark, path):
+            continue
+        there = lake.folders(spark, path, table).distinct()
+        left = there.join(runs.taken(table, "date"), ["run", "date"], "left_anti")
+        whole = there.select("run").distinct().join(left, "run", "left_anti").join(runs.finished(), "run", "left_semi")
+        for r in whole.collect():
+            gone += lake.delete_folder(spark, f"{path}/run={r['run']}")
+    return gone

@@ -1,27 +1,21 @@
-"""Hot store: append-only segments per event type, and a small log that says which are live.
-
-Nothing is rewritten in place, so a reader never loses files under its feet: an append
-writes a new segment folder and then logs it, a delete logs the segment as removed. One
-commit is one file of the log, written under a hidden name and renamed, so it is seen whole
-or not at all and never meets another commit. Who works on segments claims them first;
-claims are numbered, and of two that want the same number one has to look again. A
-replayed append finds its segment in the log and does nothing.
+"""Hot store: the events that the lake does not have yet, as Parquet tables by event type.
+
+A batch of a feed is the partition (run=feed, batch) of each table, so a replayed batch
+replaces its own rows. What a run of the lake, a delete or a compaction leaves of the batches
+it took is a partition (run, batch) of that run. `Runs` says which partitions are there.
 """
 
 from __future__ import annotations
 
-import json
-import threading
-import time
-import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapeloom import schemas
+from tapeloom.sources import envelopes
+from tapeloom.sources.runs import FEED, Runs, read_or_empty, write_partitions
 
 #: Events of other types, as whole envelopes, and payloads that could not be read.
 DOCUMENTS, REJECTS = "documents", "rejects"
@@ -31,177 +25,79 @@ TABLES = {
     DOCUMENTS: schemas.ENVELOPE,
     REJECTS: schemas.ENVELOPE,
 }
+#: Payloads lie next to the rest of their envelope.
+STORED = TABLES | {
+    t: T.StructType([*TABLES[t].fields, *schemas.ABOUT.fields])
+    for t in (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT)
+}
+PARTS = ["run", "batch"]
 
-LOG = "run string, table string, segment string, action string"
-Record = tuple[str, str, str, str]
-
-# A rename that refuses to replace is atomic on a cluster's file system; on local disk it
-# looks first, so the threads of one process take turns.
-_renaming = threading.Lock()
+# Files are skipped by a Bloom filter where a lookup is by id; its size follows the file's rows.
+_LOOKED_UP = ("trade_id", "aggregate_id")
+_BLOOM = {"parquet.bloom.filter.adaptive.enabled": "true"}
 
 
 class HotStore:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.runs = Runs(spark, f"{self.path}/runs")
         # Not the INT96 default: only plain timestamps have statistics a time filter can use.
         spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
 
-    def _segment_path(self, table: str, segment: str) -> str:
-        return f"{self.path}/type={table}/segment={segment}"
-
-    def _file(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/log/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _write_new(self, name: str, records: Sequence[Record]) -> bool:
-        """A log file under a name nobody has taken; false if it is taken."""
-        fields = ("run", "table", "segment", "action")
-        text = "".join(json.dumps(dict(zip(fields, r))) + "\n" for r in records)
-        system, hidden = self._file(f"_{uuid.uuid4().hex}")
-        _, final = self._file(name)
-        out = system.create(hidden, False)
-        try:
-            out.write(bytearray(text.encode()))
-        finally:
-            out.close()
-        jvm = self.spark._jvm
-        kind = getattr(jvm, "org.apache.hadoop.fs.Options$Rename")
-        options = self.spark.sparkContext._gateway.new_array(kind, 1)
-        options[0] = kind.NONE
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            system.getUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        with _renaming:
-            if system.exists(final):
-                system.delete(hidden, False)
-                return False
-            try:
-                context.rename(system.makeQualified(hidden), system.makeQualified(final), options)
-            except Py4JJavaError:
-                if not system.exists(final):
-                    raise
-                system.delete(hidden, False)
-                return False
-        return True
-
-    def commit(self, records: Sequence[Record]) -> None:
-        """Append (run, table, segment, action) records in one file of its own."""
-        while not self._write_new(f"{time.time_ns():020d}-{uuid.uuid4().hex}.json", records):
-            pass
-
-    def _claims(self) -> int:
-        system, folder = self._file("")
-        if not system.exists(folder):
-            return 0
-        return sum(f.getPath().getName().startswith("claim-") for f in system.listStatus(folder))
-
-    def claim(self, run: str, choose: Callable[[list[T.Row], set[tuple[str, str]]], Sequence[Record]]) -> list[Record]:
-        """Log what `choose` takes, unless another claim came in between: then choose again.
-
-        `choose` gets the log and the (table, segment) pairs that unfinished runs other than
-        this one hold. It may take nothing, or raise.
-        """
-        while True:
-            number = self._claims()
-            log = self.log()
-            done = {r["run"] for r in log if r["action"] == "done"}
-            held = {
-                (r["table"], r["segment"])
-                for r in log
-                if r["action"] in ("claim", "hold") and r["run"] not in done and r["run"] != run
-            }
-            records = list(choose(log, held))
-            if not records or self._write_new(f"claim-{number:012d}.json", records):
-                return records
-
-    def log(self) -> list[T.Row]:
-        """The log: one record a segment and action, the size of a directory listing."""
-        try:
-            return self.spark.read.schema(LOG).json(f"{self.path}/log").collect()
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-
-    def live_segments(self, table: str, log: Sequence[T.Row] | None = None) -> list[str]:
-        records = [r for r in (self.log() if log is None else log) if r["table"] == table]
-        removed = {r["segment"] for r in records if r["action"] == "remove"}
-        added = {r["segment"] for r in records if r["action"] == "add"}
-        return sorted(added - removed)
-
-    def append(self, segment: str, tables: Mapping[str, DataFrame], run: str = "") -> bool:
-        """Write a segment of each table, then log them together; false if already logged.
-
-        One log record for all tables: a reader sees a batch's trades and notifications
-        both or not at all.
-        """
-        if any(r["segment"] == segment and r["action"] == "add" for r in self.log()):
-            return False
-        for table, rows in tables.items():
-            self.write_segment(table, rows, segment)
-        self.commit([(run, table, segment, "add") for table in tables])
-        return True
-
-    def write_segment(self, table: str, rows: DataFrame, segment: str) -> None:
-        """Write the files of a segment without logging it."""
-        columns = TABLES[table].names
-        clustered = [c for c in ("symbol", "trade_time", "event_time") if c in columns]
-        out = rows.select(*columns)
-        if clustered:
-            out = out.sortWithinPartitions(*clustered)
-        out.write.mode("overwrite").parquet(self._segment_path(table, segment))
-
-    def scan(self, table: str, segments: Sequence[str] | None = None, with_segment: bool = False) -> DataFrame:
-        """Rows of the live (or the given) segments, optionally with their `segment`."""
-        schema = TABLES[table]
-        if with_segment:
-            schema = T.StructType([*schema.fields, T.StructField("segment", T.StringType())])
-        found = self.live_segments(table) if segments is None else list(segments)
-        if not found:
-            return self.spark.createDataFrame([], schema)
-        reader = self.spark.read.schema(schema).option("basePath", f"{self.path}/type={table}")
-        rows = reader.parquet(*[self._segment_path(table, s) for s in found])
-        return rows.select(*schema.names)
-
-    def scan_trades(self, segments: Sequence[str] | None = None) -> DataFrame:
-        return self.scan(schemas.TRADE_EVENT, segments)
-
-    def scan_notifications(self, segments: Sequence[str] | None = None) -> DataFrame:
-        return self.scan(schemas.NOTIFICATION_EVENT, segments)
-
-    def replace(self, table: str, segments: Sequence[str], rows: DataFrame, segment: str, run: str = "") -> None:
-        """Swap live segments for one new segment, in one commit (delete, compaction).
-
-        The run is to hold the segments (`hold`), and is done with the commit.
-        """
-        self.write_segment(table, rows, segment)
-        gone = [(run, table, s, "remove") for s in segments]
-        self.commit([(run, table, segment, "add"), *gone, (run, "", "", "done")])
-
-    def hold(self, run: str, table: str, segments: Sequence[str]) -> None:
-        """Keep other runs off these segments until the run is done; fails if one has them."""
+    def table_path(self, table: str) -> str:
+        return f"{self.path}/type={table}"
 
-        def choose(log: list[T.Row], held: set[tuple[str, str]]) -> list[Record]:
-            taken = sorted(s for s in segments if (table, s) in held)
-            if taken:
-                runs = sorted({r["run"] for r in log if r["segment"] in taken and r["action"] in ("claim", "hold")})
-                raise RuntimeError(f"segments {taken} are in the hands of other runs: {runs}")
-            lost = sorted(set(segments) - set(self.live_segments(table, log)))
-            if lost:
-                raise RuntimeError(f"segments {lost} are gone")
-            return [(run, table, s, "hold") for s in segments]
+    def append(self, batch: str, tables: Mapping[str, DataFrame]) -> None:
+        """Write a batch of a feed; a batch written before is replaced.
 
-        self.claim(run, choose)
+        Trades come last: who sees those of a batch sees its notifications too.
+        """
+        for table in sorted(tables, key=lambda t: (t == schemas.TRADE_EVENT, t)):
+            self.write(table, tables[table], FEED, batch)
 
-    def vacuum(self) -> int:
-        """Delete the files of removed segments; returns how many segments are gone.
+    def write(self, table: str, rows: DataFrame, run: str, batch: str, clustered: bool = False) -> None:
+        """Write one partition, sorted by symbol and time unless the rows are `clustered` already.
 
-        To be called when no reader is still on an older view of the store.
+        Rows without the columns around a payload get those of a new envelope.
         """
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        gone = 0
-        for r in {r for r in self.log() if r["action"] == "remove"}:
-            path = jvm.org.apache.hadoop.fs.Path(self._segment_path(r["table"], r["segment"]))
-            gone += bool(path.getFileSystem(conf).delete(path, True))
-        return gone
+        if table in (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT):
+            rows = envelopes.with_about(rows, table)
+        columns = STORED[table].names
+        out = rows.select(*columns, F.lit(run).alias("run"), F.lit(batch).alias("batch"))
+        order = [c for c in ("symbol", "trade_time", "event_time") if c in columns]
+        if order and not clustered:
+            out = out.sortWithinPartitions(*PARTS, *order)
+        blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in _LOOKED_UP if c in columns}
+        write_partitions(out, self.table_path(table), PARTS, **blooms, **(_BLOOM if blooms else {}))
+
+    def stored(self, table: str) -> DataFrame:
+        """All rows of a table with their `run` and `batch`, whether they are there or not."""
+        schema = T.StructType([*STORED[table].fields, *[T.StructField(p, T.StringType()) for p in PARTS]])
+        return read_or_empty(self.spark, self.table_path(table), schema)
+
+    def live_parts(self, table: str) -> DataFrame:
+        """(run, batch) of the partitions that are there."""
+        return self.runs.live(self.stored(table).select(*PARTS).distinct(), table, "batch")
+
+    def rows(self, table: str, parts: DataFrame | None = None) -> DataFrame:
+        """Payloads, what was around them, `run` and `batch`: of all live rows, or of `parts`."""
+        found = self.stored(table)
+        if parts is None:
+            return self.runs.live(found, table, "batch")
+        return found.join(parts.select(*PARTS).distinct(), PARTS, "left_semi").select(*found.columns)
+
+    def scan(self, table: str, parts: DataFrame | None = None) -> DataFrame:
+        """Payloads of the live rows, or of the given partitions (run, batch)."""
+        return self.rows(table, parts).select(*TABLES[table].names)
+
+    def scan_trades(self, parts: DataFrame | None = None) -> DataFrame:
+        return self.scan(schemas.TRADE_EVENT, parts)
+
+    def scan_notifications(self, parts: DataFrame | None = None) -> DataFrame:
+        return self.scan(schemas.NOTIFICATION_EVENT, parts)
+
+    def scan_envelopes(self, table: str) -> DataFrame:
+        """The live events of a table as envelopes, as they came in."""
+        rows = self.rows(table)
+        return rows.select(*schemas.ENVELOPE.names) if table in (DOCUMENTS, REJECTS) else envelopes.rewrap(rows, table)

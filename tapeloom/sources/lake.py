@@ -3,6 +3,9 @@
 Every write of a run goes to its own `run=` folder and replaces it, so repeating a run
 repeats its files instead of adding to them. Rows are rebalanced by partition before a
 write: small partitions share a task, a hot one is split over many.
+
+Readers take the rows of all runs, of a list of runs, or of what the finished runs of a
+`Runs` table left: then a day that a compaction has merged comes from its one folder.
 """
 
 from __future__ import annotations
@@ -18,6 +21,12 @@ from tapeloom.functions import times
 from tapeloom.operators import rollup as rollups
 from tapeloom.session import session_conf
 from tapeloom.sources import envelopes
+from tapeloom.sources.runs import Runs
+
+#: Which runs a reader takes rows of.
+Chosen = Sequence[str] | Runs | None
+#: Names of the lake's tables in a table of runs; the part of a run is a day there.
+RAW_TRADES, RAW_NOTIFICATIONS, CURATED, STATE = "raw_trades", "raw_notifications", "curated", "state"
 
 # Row group sizes of the curated and the rollup files.
 CURATED_ROW_GROUP = 128 * 1024 * 1024
@@ -40,9 +49,13 @@ def _write(rows: DataFrame, path: str, parts: list[str], run: str, fmt: str, **o
         writer.save(f"{path.rstrip('/')}/run={run}")
 
 
-def _in_runs(rows: DataFrame, runs: Sequence[str] | None) -> DataFrame:
-    """Rows of the given runs (a partition filter); all runs if None."""
-    return rows if runs is None else rows.where(F.col("run").isin(list(runs)))
+def _in_runs(rows: DataFrame, runs: Chosen, table: str) -> DataFrame:
+    """Rows of the chosen runs (a partition filter, or joins on partition columns)."""
+    if runs is None:
+        return rows
+    if isinstance(runs, Runs):
+        return runs.live(rows, table, "date")
+    return rows.where(F.col("run").isin(list(runs)))
 
 
 def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -50,26 +63,26 @@ def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("run", T.StringType())])).parquet(path)
 
 
-def _file(spark: SparkSession, path: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _folder(spark, path)
+    return system.exists(folder)
 
 
-def move_run(spark: SparkSession, source: str, target: str, run: str) -> None:
-    """Move a run's folder into a table of the lake, in place of what it left there before."""
-    system, old = _file(spark, f"{source}/run={run}")
-    if not system.exists(old):
-        return
-    _, new = _file(spark, f"{target}/run={run}")
-    system.mkdirs(new.getParent())
-    system.delete(new, True)
-    if not system.rename(old, new):
-        raise OSError(f"cannot move {old.toString()} to {new.toString()}")
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    system, folder = _folder(spark, path)
+    return system.delete(folder, True)
 
 
-def delete_folder(spark: SparkSession, path: str) -> None:
-    system, folder = _file(spark, path)
-    system.delete(folder, True)
+def folders(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """(run, date) of the rows below a table's folder."""
+    if table in (RAW_TRADES, RAW_NOTIFICATIONS):
+        return raw_lines(spark, path, table).select("run", "date")
+    return spark.read.schema("run string, date string").parquet(path)
 
 
 # Stands for the empty symbol in a folder's name, where Spark would make it a null.
@@ -104,9 +117,14 @@ def _time_parts(time: Column, hour: bool) -> dict[str, Column]:
 def _archive(rows: DataFrame, path: str, run: str, time: Column, hour: bool, schema: T.StructType, names: dict[str, str]) -> None:
     parts = _time_parts(time, hour)
     payload = envelopes.payload_json(schema, names)
-    lines = rows.select(payload.alias("value"), *[c.alias(n) for n, c in parts.items()])
-    lines = lines.hint("rebalance", *parts)
-    _write(lines, path, list(parts), run, "text", compression="gzip")
+    write_raw_lines(rows.select(payload.alias("value"), *[c.alias(n) for n, c in parts.items()]), path, run)
+
+
+def write_raw_lines(lines: DataFrame, path: str, run: str) -> None:
+    """Gzip lines (`value`) by year, month, day and, where they have one, hour."""
+    parts = [c for c in ("year", "month", "day", "hour") if c in lines.columns]
+    lines = lines.select("value", *parts).hint("rebalance", *parts)
+    _write(lines, path, parts, run, "text", compression="gzip")
 
 
 def archive_raw_trades(trades: DataFrame, path: str, run: str) -> None:
@@ -127,6 +145,16 @@ def archive_raw_notifications(notifications: DataFrame, path: str, run: str) ->
     )
 
 
+def raw_lines(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """Lines of the archive (`value`) with their `run`, `date` and the parts of their time."""
+    parts = ["run", "year", "month", "day", *(["hour"] if table == RAW_TRADES else [])]
+    schema = ", ".join(f"{c} string" for c in ("value", *parts))
+    # Where runs have written no line yet, there are no folders to take the parts from.
+    written = "run" in spark.read.text(path).columns
+    lines = spark.read.schema(schema).text(path) if written else spark.createDataFrame([], schema)
+    return lines.withColumn("date", F.concat_ws("-", "year", "month", "day"))
+
+
 def _read_raw(
     spark: SparkSession,
     path: str,
@@ -134,30 +162,40 @@ def _read_raw(
     names: dict[str, str],
     start: str,
     legacy: bool,
-    runs: Sequence[str] | None,
+    runs: Chosen,
+    table: str,
 ) -> DataFrame:
     shape = schemas.wire_schema(schema, names)
     if legacy:
-        # Plain YYYY/MM/DD/HH folders, no partition columns.
-        lines = spark.read.option("recursiveFileLookup", "true").text(path)
-        # Records follow one another without a newline. Inside a JSON text the quote after
-        # a brace is escaped, so the split cannot hit a value.
-        cut = r"(?<=\})(?=" + start.replace("{", r"\{") + ")"
-        lines = lines.select(F.explode(F.split("value", cut)).alias("value"))
-        # A whole file was one line, hence one row; spread its records evenly.
-        lines = lines.hint("rebalance")
+        # Plain YYYY/MM/DD/HH folders, no partition columns. Records follow one another without
+        # a newline, so the reader itself cuts where the next one starts.
+        rows = _legacy_records(spark, path, start)
     else:
-        lines = _in_runs(spark.read.schema("value string, run string").text(path), runs)
-    parsed = lines.select(F.explode(F.array(F.from_json("value", shape))).alias("r"))
+        rows = _in_runs(raw_lines(spark, path, table), runs, table)
+    parsed = rows.select(F.explode(F.array(F.from_json("value", shape))).alias("r"))
     return envelopes.typed_payload(parsed, "r", schema, names)
 
 
-def read_raw_trades(spark: SparkSession, path: str, legacy: bool = False, runs: Sequence[str] | None = None) -> DataFrame:
+def _legacy_records(spark: SparkSession, path: str, start: str) -> DataFrame:
+    """Records of concatenated JSON texts, one a row, split while the file is read.
+
+    The reader's separator is how a record starts: a brace and its first key. Inside a JSON
+    text a quote is escaped, so it is never part of a value, and no row is longer than a record.
+    """
+    rows = spark.read.option("recursiveFileLookup", "true").option("lineSep", start).text(path)
+    rest = F.rtrim(F.col("value"), F.lit("\n\r\t "))
+    # What comes before a file's first record is empty.
+    records = rows.where(rest != "").select(F.concat(F.lit(start), rest).alias("value"))
+    # A compressed file is one task; spread its records for what follows.
+    return records.hint("rebalance")
+
+
+def read_raw_trades(spark: SparkSession, path: str, legacy: bool = False, runs: Chosen = None) -> DataFrame:
     """Archived trades; `legacy` reads files of concatenated records."""
-    return _read_raw(spark, path, schemas.TRADE, schemas.TRADE_WIRE, _TRADE_START, legacy, runs)
+    return _read_raw(spark, path, schemas.TRADE, schemas.TRADE_WIRE, _TRADE_START, legacy, runs, RAW_TRADES)
 
 
-def read_raw_notifications(spark: SparkSession, path: str, legacy: bool = False, runs: Sequence[str] | None = None) -> DataFrame:
+def read_raw_notifications(spark: SparkSession, path: str, legacy: bool = False, runs: Chosen = None) -> DataFrame:
     return _read_raw(
         spark,
         path,
@@ -166,6 +204,7 @@ def read_raw_notifications(spark: SparkSession, path: str, legacy: bool = False,
         _NOTIFICATION_START,
         legacy,
         runs,
+        RAW_NOTIFICATIONS,
     )
 
 
@@ -181,10 +220,14 @@ def write_curated(curated: DataFrame, path: str, run: str) -> None:
     _write(rows, path, ["symbol", "date"], run, "parquet", **options)
 
 
-def read_curated(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:
+def curated_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Curated trades with their `run`."""
+    return _from_folder(_parquet(spark, path, schemas.CURATED))
+
+
+def read_curated(spark: SparkSession, path: str, runs: Chosen = None) -> DataFrame:
     """Curated trades; filters on symbol and date prune folders."""
-    rows = _from_folder(_in_runs(_parquet(spark, path, schemas.CURATED), runs))
-    return rows.select(*schemas.CURATED.names)
+    return _in_runs(curated_rows(spark, path), runs, CURATED).select(*schemas.CURATED.names)
 
 
 # --- rollups ---------------------------------------------------------------------------
@@ -206,16 +249,21 @@ def write_state(state: DataFrame, path: str, run: str) -> None:
     _write(rows, f"{path.rstrip('/')}/state", ["date"], run, "parquet")
 
 
-def read_state(spark: SparkSession, path: str, runs: Sequence[str] | None = None) -> DataFrame:
+def state_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Minute state with its `run` and `date`."""
     schema = schemas.minute_state()
     dated = T.StructType([*schema.fields, T.StructField("date", T.StringType())])
-    return _in_runs(_parquet(spark, f"{path.rstrip('/')}/state", dated), runs)
+    return _parquet(spark, f"{path.rstrip('/')}/state", dated)
+
+
+def read_state(spark: SparkSession, path: str, runs: Chosen = None) -> DataFrame:
+    return _in_runs(state_rows(spark, path), runs, STATE)
 
 
-def read_rollups(spark: SparkSession, path: str, grain: str, runs: Sequence[str] | None = None) -> DataFrame:
+def read_rollups(spark: SparkSession, path: str, grain: str, runs: Chosen = None) -> DataFrame:
     """Published rows as written: a bucket has one row per run that touched it."""
     schema = schemas.rollup(grain)
-    rows = _from_folder(_in_runs(_parquet(spark, f"{path.rstrip('/')}/{grain}", schema), runs))
+    rows = _from_folder(_in_runs(_parquet(spark, f"{path.rstrip('/')}/{grain}", schema), runs, grain))
     return rows.select(*schema.names)
 
 
@@ -223,7 +271,7 @@ def read_merged_rollups(
     spark: SparkSession,
     path: str,
     grain: str,
-    runs: Sequence[str] | None = None,
+    runs: Chosen = None,
     where: Column | None = None,
 ) -> DataFrame:
     """One row per bucket over all runs; `where` (on symbol, date) prunes folders first."""

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,19 +15,20 @@ from tapeloom.functions import ids
 from tapeloom.operators import alerts
 from tapeloom.sources import envelopes, frames
 from tapeloom.sources.hot import DOCUMENTS, REJECTS, HotStore
+from tapeloom.sources.runs import read_or_empty, write_partitions
+
+#: Stands for the handler of unreadable envelopes among the finished ones.
+REJECTED = "__rejected__"
 
 AlertSink = Callable[[DataFrame, str], None]
 
 
-def stream_id(spark: SparkSession, checkpoint: str) -> str:
-    """A name that lives with the checkpoint: the same after a restart, no other stream's."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint.rstrip('/')}/stream-id")
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        out = system.create(path, False)
-        out.write(bytearray(uuid.uuid4().hex[:16].encode()))
-        out.close()
-    return spark.read.text(path.toString()).first()[0]
+def stream_id(batch: DataFrame) -> str:
+    """Id of the streaming query that a batch belongs to.
+
+    Spark keeps it in the checkpoint: the same after a restart, no other stream's.
+    """
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
 def _label(stream: str, batch: int) -> str:
@@ -49,13 +49,14 @@ def hot_handler(
 ) -> Callable[[DataFrame, str], None]:
     """Fan-out handler that appends each event to the hot table named by its type.
 
+    What the envelope says is kept next to the payload.
     Payloads that cannot be read go to `rejects` with a reason, or, without it, to the hot
     table of rejects; events of any other type go to the table of documents as they came.
     """
 
     def store(received: DataFrame, batch: str) -> None:
         types = (schemas.TRADE_EVENT, schemas.NOTIFICATION_EVENT)
-        tables = {t: envelopes.unwrap(received, t) for t in types}
+        tables = {t: envelopes.unwrap(received, t, with_about=True) for t in types}
         known = F.coalesce(F.col("type").isin(*types), F.lit(False))
         tables[DOCUMENTS] = received.where(~known)
         bad = reduce(DataFrame.unionByName, [envelopes.unwrap_rejects(received, t) for t in types])
@@ -91,14 +92,12 @@ def start_ingest(
     `dedup_within` drops a trade the feed delivers again within that time of arrival.
 
     Bounded by the source's rate options (maxFilesPerTrigger, maxBytesPerTrigger,
-    maxOffsetsPerTrigger). Ids derive from the frames and segments are named by batch, so
+    maxOffsetsPerTrigger). Ids derive from the frames and partitions are named by batch, so
     a replayed batch after a failure writes the same rows to the same place: either all
     outputs of a batch are there when its offsets commit, or the batch is run again.
     `every` is the trigger interval; without it all available input is taken once.
     """
 
-    name = stream_id(hot.spark, checkpoint)
-
     def run_batch(batch: DataFrame, batch_id: int) -> None:
         # Four outputs read the decoded batch; kept on executors' disks, recomputed if lost.
         parsed = frames.parse_frames(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,7 +105,7 @@ def start_ingest(
             zero = on_bad_frame == "zero"
             trades = frames.zero_filled(parsed) if zero else frames.trades_of(parsed)
             notices = alerts.build_notifications(trades, threshold)
-            label = _label(name, batch_id)
+            label = _label(stream_id(batch), batch_id)
             hot.append(
                 f"batch-{label}",
                 {schemas.TRADE_EVENT: trades, schemas.NOTIFICATION_EVENT: notices},
@@ -152,25 +151,49 @@ def start_fan_out(
     every: str | None = None,
     rejects: Callable[[DataFrame, str], None] | None = None,
 ) -> StreamingQuery:
-    """Envelope texts to one handler per subscriber; a failing handler repeats the batch.
+    """Envelope texts to one handler per subscriber.
 
     A handler gets a label of stream, subscriber and batch, the same when a batch is repeated.
+    One that fails holds up no other: the rest of the handlers run, then the batch fails, and
+    when it is repeated only those run that have not finished it. What is finished is a table of
+    (batch, subscriber) beside the checkpoint.
     """
-    name = stream_id(wire.sparkSession, checkpoint)
+    spark = wire.sparkSession
+    delivered = f"{checkpoint.rstrip('/')}/delivered"
+
+    def finish(label: str, subscriber: str) -> None:
+        mark = spark.createDataFrame([(1, label, subscriber)], "done int, batch string, subscriber string")
+        write_partitions(mark, delivered, ["batch", "subscriber"])
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
+        name = stream_id(batch)
+        label = _label(name, batch_id)
+        marks = read_or_empty(spark, delivered, "done int, batch string, subscriber string")
+        # At most one row a handler; other batches' folders are pruned.
+        done = {r["subscriber"] for r in marks.where(F.col("batch") == label).select("subscriber").distinct().collect()}
         parsed = envelopes.parse_envelopes(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        failed: dict[str, Exception] = {}
         try:
             readable = parsed.where(F.col("malformed").isNull() & F.col("id").isNotNull())
             copies = envelopes.fan_out(readable.select(*schemas.ENVELOPE.names))
             for subscriber, handle in handlers.items():
+                if subscriber in done:
+                    continue
                 mine = copies.where(F.col("subscriber") == subscriber).drop("subscriber")
-                handle(mine, _label(f"{name}-{subscriber}", batch_id))
-            if rejects:
+                try:
+                    handle(mine, _label(f"{name}-{subscriber}", batch_id))
+                except Exception as error:
+                    failed[subscriber] = error
+                else:
+                    finish(label, subscriber)
+            if rejects and REJECTED not in done:
                 bad = parsed.where(F.col("malformed").isNotNull() | F.col("id").isNull())
-                rejects(bad.select("value"), _label(name, batch_id))
+                rejects(bad.select("value"), label)
+                finish(label, REJECTED)
         finally:
             parsed.unpersist()
+        if failed:
+            raise RuntimeError(f"handlers failed: {failed}") from next(iter(failed.values()))
 
     writer = wire.writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     return _with_trigger(writer, every).start()

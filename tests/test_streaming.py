@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeloom import schemas
 from tapeloom.operators import alerts, rollup
-from tapeloom.sources import envelopes, frames
+from tapeloom.sources import envelopes, frames, lake
 from tapeloom.sources.hot import DOCUMENTS, REJECTS, HotStore
 from tapeloom.streaming import ingest
 from tapeloom.streaming import rollups as live
@@ -53,7 +53,7 @@ def test_ingest_batches_restart_and_quarantine(spark, places):
     write_frames(spark, places["in"], "3", [large(4)])
     run()
     assert rows(hot.scan_trades(), "aggregate_id") == [(1,), (2,), (3,), (4,)]
-    assert len(hot.live_segments(schemas.TRADE_EVENT)) == 3
+    assert hot.live_parts(schemas.TRADE_EVENT).count() == 3
     # The same as the batch operators over all frames.
     decoded = frames.decode_frames(frames.read_frames(spark, places["in"]))
     assert rows(hot.scan_trades()) == rows(decoded)
@@ -196,3 +196,52 @@ def test_late_trade_is_dropped_by_the_stream(spark, places):
     rolled = live.stream_rollup(frames.decode_frames(source), "hourly", "10 minutes")
     live.start_stream_rollup(rolled, places["out"], places["cp"]).awaitTermination()
     assert rows(spark.read.parquet(places["out"]), "trade_count") == [(1,), (2,)]
+
+
+def test_late_trades_make_further_partial_states(spark, places):
+    """Batches far behind the latest trade: rollups of the live states equal the batch ones."""
+    made = [trade(n, trade_time=at(n * 613), price=0.1 * (n % 7 + 1), quantity=1e15 if n == 3 else 0.1) for n in range(60)]
+    for part in range(4):
+        # The newest trades come first.
+        write_frames(spark, places["in"], str(part + 1), made[3 - part :: 4])
+    source = frames.read_frames(spark, places["in"], streaming=True, maxFilesPerTrigger="1")
+    for _ in range(2):
+        live.start_state_stream(frames.decode_frames(source), places["out"], places["cp"]).awaitTermination()
+    batch = trades(spark, made).withColumn("triggered_notification", F.lit(False))
+    for grain in rollup.GRAINS:
+        assert rows(lake.read_merged_rollups(spark, places["out"], grain)) == rows(rollup.rollup(batch, grain))
+    assert len(os.listdir(f"{places['out']}/state")) == 4
+
+
+def test_only_the_failing_handler_is_repeated(spark, places):
+    wire = envelopes.to_wire(envelopes.wrap_trades(trades(spark, [trade(1)]), F.lit("-")))
+    many = wire.select(F.replace("value", F.lit("consumer.telegrambot"), F.lit('third","consumer.telegrambot')).alias("value"))
+    many.coalesce(1).write.text(places["in"])
+    seen, broken = [], [True]
+
+    def handler(name):
+        def handle(df, batch):
+            seen.append((name, df.count()))
+            if name == "consumer.telegrambot" and broken[0]:
+                raise OSError("away")
+
+        return handle
+
+    names = [schemas.STORE_SUBSCRIBER, schemas.ALERT_SUBSCRIBER, "third"]
+
+    def run():
+        ingest.start_fan_out(
+            spark.readStream.text(places["in"]), {n: handler(n) for n in names}, places["cp"],
+            rejects=lambda df, batch: seen.append(("rejects", df.count())),
+        ).awaitTermination()
+
+    with pytest.raises(Exception, match="away"):
+        run()
+    assert sorted(seen) == [("consumer.mongo", 1), ("consumer.telegrambot", 1), ("rejects", 0), ("third", 1)]
+    seen.clear()
+    broken[0] = False
+    run()
+    assert seen == [("consumer.telegrambot", 1)]
+    seen.clear()
+    run()
+    assert seen == []
