@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -103,6 +105,22 @@ def chunks(batch: pa.RecordBatch, column: str, budget: int) -> Iterator[tuple[in
         yield start, len(sizes)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; after the last one its worker gives free memory back.
+
+    Workers wait for further tasks beside an executor's heap, and would keep what the largest
+    of their tasks needed.
+    """
+    try:
+        yield from batches
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def arrow_map(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -113,4 +131,4 @@ def arrow_map(
             if batch.num_rows:
                 yield from function(batch)
 
-    return df.mapInArrow(over, schema)
+    return df.mapInArrow(lambda batches: released(over(batches)), schema)

@@ -1,6 +1,8 @@
 """Substring dedup by paragraphs: MinHash banding, exact Jaccard, removal by components.
 
-A paragraph is a line of a text. Paragraphs with the same shingle set are one item; items that
+A paragraph is a line of `min_words` words or more. Shorter lines, which clean texts share too,
+stay; passages that lie inside different lines are cut by their sentences (`passages`).
+Paragraphs with the same shingle set are one item; items that
 share a band of MinHash values are candidates, and inside the candidates' components all pairs
 are verified exactly on their sets. Of each component of verified links only the first
 paragraph stays, by document id and place; the others are cut out of their texts.
@@ -11,17 +13,18 @@ paragraphs always meet. A set of fewer than four shingles cannot be within 0.8 o
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from fractions import Fraction
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeloom.llm import hashing, similar
-from tapeloom.llm.frames import arrow_map, chunks, pick, stored, table
+from tapeloom.llm import hashing, passages, similar
+from tapeloom.llm.frames import arrow_map, chunks, parted, pick, stored, table
 from tapeloom.llm.near import LINKS_SQL, SHINGLE, THRESHOLD, banded
 
 BANDS, ROWS = 12, 3
@@ -108,7 +111,7 @@ def repeated_paragraphs(
     docs: DataFrame,
     threshold: float = THRESHOLD,
     size: int = SHINGLE,
-    min_words: int = SHINGLE,
+    min_words: int = passages.MIN_WORDS,
     id_col: str = "doc_id",
     text_col: str = "text",
     bands: int = BANDS,
@@ -152,27 +155,73 @@ def repeated_paragraphs(
     return gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("place")).alias("removed"))
 
 
-def without_places(text: Column, removed: Column) -> Column:
-    """The text without the lines at these places (a null list: the text as it is)."""
-    lines_left = F.filter(F.split(text, "\n"), lambda _, at: ~F.array_contains(removed, at))
-    return F.when(removed.isNull(), text).otherwise(F.array_join(lines_left, "\n"))
+def cut_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """(doc_id, text_key, text, places, n_cut, n_passages) of the texts with repeats.
+
+    `text` is what stays; `places` lists the lines that went as whole paragraphs, `n_cut`
+    counts all lines that lost words, `n_passages` the repeated passages a text holds, first
+    places included.
+    """
+    min_words = options.get("min_words", passages.MIN_WORDS)
+    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("text_key", F.xxhash64("text"))
+    key = ["doc_id", "text_key"]
+    lines_gone = stored(repeated_paragraphs(docs, id_col=id_col, text_col=text_col, **options), "lines-gone")
+    words_gone = stored(passages.repeated_passages(rows, min_words), "words-gone")
+    both = lines_gone.select(*key).unionByName(words_gone.select(*key)).distinct()
+    for other in (lines_gone, words_gone):
+        named = other.withColumnsRenamed({c: f"own_{c}" for c in key})
+        same = (F.col("text_key") == F.col("own_text_key")) & F.col("doc_id").eqNullSafe(F.col("own_doc_id"))
+        both = both.join(named, same, "left").drop(*[f"own_{c}" for c in key])
+    wanted = both.withColumnsRenamed({c: f"own_{c}" for c in key})
+    # One plan at every size: the texts are dealt by their hash. Repeated rows are cut once.
+    near = parted(rows, "text_key", both, "cut-texts")[0].hint("merge").join(
+        wanted, (F.col("text_key") == F.col("own_text_key")) & F.col("doc_id").eqNullSafe(F.col("own_doc_id"))
+    ).select(*key, "text", "removed", "cut", F.coalesce("n_passages", F.lit(0)).alias("n_passages"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for start, end in chunks(batch, "text", BLOCK):
+            part = batch.slice(start, end - start)
+            given = zip(*(part.column(c).to_pylist() for c in ("text", "removed", "cut")))
+            found = [passages.without_words(*one) for one in given]
+            yield pa.record_batch(
+                [part.column("doc_id"), part.column("text_key"), pa.array([t for t, _ in found], pa.string()),
+                 part.column("removed"), pa.array([n for _, n in found], pa.int64()), part.column("n_passages")],
+                names=["doc_id", "text_key", "text", "places", "n_cut", "n_passages"],
+            )
+
+    schema = f"doc_id {kind}, text_key bigint, text string, places array<int>, n_cut bigint, n_passages bigint"
+    return arrow_map(near, of, schema).dropDuplicates(key)
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """All rows and columns of `docs` with repeated paragraphs cut from the text, plus `_removed`.
+    """All rows and columns of `docs`, the text without its repeats, and `n_passages`, `n_cut`, `places`.
 
-    `_removed` lists the places (from 0) of the cut paragraphs and is null if there are none;
-    such texts, null ones included, come back as they were. Rows with the same id and text
-    count as one row. An empty table gives an empty result.
+    Texts without repeats, null ones included, come back as they were, with counts of 0 and a
+    null list. Columns of those three names are replaced. Rows with the same id and text count
+    as one row. An empty table gives an empty result.
     """
-    removed = repeated_paragraphs(docs, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias("_own_id"), F.col("text_key").alias("_own_key"), F.col("removed").alias("_removed")
-    )
+    new = {"text": "_cut_text", "places": "_cut_places", "n_cut": "_cut_lines", "n_passages": "_cut_passages",
+           "doc_id": "_cut_id", "text_key": "_cut_key"}
+    tag = uuid.uuid4().hex[:8]
+    new = {c: f"{name}_{tag}" for c, name in new.items()}
+    cut = cut_texts(docs, id_col, text_col, **options).withColumnsRenamed(new)
     text, number = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
-    joined = docs.hint("merge").join(
-        removed, (F.xxhash64(text) == F.col("_own_key")) & number.eqNullSafe(F.col("_own_id")), "left"
-    ).drop("_own_id", "_own_key")
-    return joined.withColumn(text_col, without_places(text, F.col("_removed")))
+    kept = docs.drop(*[c for c in ("n_passages", "n_cut", "places") if c not in (id_col, text_col)])
+    joined = kept.hint("merge").join(
+        cut, (F.xxhash64(text) == F.col(new["text_key"])) & number.eqNullSafe(F.col(new["doc_id"])), "left"
+    )
+    hit = F.col(new["text_key"]).isNotNull()
+    columns = [
+        F.when(hit, F.col(new["text"])).otherwise(text).alias(text_col) if c == text_col else F.col(f"`{c}`")
+        for c in kept.columns
+    ]
+    return joined.select(
+        *columns,
+        F.coalesce(new["n_passages"], F.lit(0)).cast("bigint").alias("n_passages"),
+        F.coalesce(new["n_cut"], F.lit(0)).cast("bigint").alias("n_cut"),
+        F.col(new["places"]).alias("places"),
+    )
 
 
 def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,9 +229,10 @@ def op9_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = without_repeats(docs)
     return cut.select(
         "doc_id",
-        F.col("n").cast("bigint").alias("n_paragraphs"),
-        F.coalesce(F.size("_removed"), F.lit(0)).cast("bigint").alias("n_removed"),
-        F.array_join(F.coalesce("_removed", F.array().cast("array<int>")).cast("array<string>"), ",").alias("removed"),
+        "n_passages",
+        F.coalesce("n", F.lit(0)).cast("bigint").alias("n_paragraphs"),
+        F.col("n_cut").alias("n_removed"),
+        F.array_join(F.coalesce("places", F.array().cast("array<int>")).cast("array<string>"), ",").alias("removed"),
         "text",
     )
 
@@ -194,11 +244,55 @@ lines AS (
   FROM split, unnest(range(0, len(ls))) AS r(place)
 ), texts AS (
   SELECT id, line AS text FROM lines
-  WHERE len([x for x in string_split_regex(line, '[\t\n\v\f\r ]+') if x <> '']) >= 5
-), {LINKS_SQL},
-gone AS (SELECT id FROM reached GROUP BY id HAVING min(low) < id)
-SELECT doc_id, count(*) AS n_paragraphs, count(gone.id) AS n_removed,
-       coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (gone.id IS NOT NULL), '') AS removed,
-       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (gone.id IS NULL), '') AS text
-FROM lines LEFT JOIN gone USING (id) GROUP BY doc_id
-"""
+  WHERE len([x for x in string_split_regex(line, '[	
+
+ ]+') if x <> '']) >= {passages.MIN_WORDS}
+), {{LINKS}},
+gone AS (SELECT id FROM reached GROUP BY id HAVING min(low) < id),
+tokens AS (
+  SELECT doc_id, place, id, unnest(t) AS token, generate_subscripts(t, 1) AS i, len(t) AS n
+  FROM (SELECT *, regexp_extract_all(line, '[^	
+ ]+[	
+ ]*') AS t FROM lines)
+), numbered AS (
+  SELECT *, regexp_extract(token, '^[^	
+ ]+') AS w,
+         row_number() OVER (PARTITION BY doc_id ORDER BY place, i) AS g FROM tokens
+), stops AS (
+  SELECT *, CASE WHEN regexp_matches(w, '[.!?]$') THEN 1 ELSE 0 END AS stop FROM numbered
+), ends AS (
+  SELECT *, CASE WHEN i = n OR (stop = 1 AND coalesce(max(stop) OVER (
+    PARTITION BY id ORDER BY i ROWS BETWEEN {passages.QUIET} PRECEDING AND 1 PRECEDING), 0) = 0) THEN 1 ELSE 0 END AS is_end
+  FROM stops
+), placed AS (
+  SELECT *, coalesce(sum(is_end) OVER (
+    PARTITION BY doc_id ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM ends
+), sentences AS (
+  SELECT doc_id, s, string_agg(w, ' ' ORDER BY g) AS said, count(*) AS n FROM placed GROUP BY doc_id, s
+), again AS (
+  SELECT *, s - row_number() OVER (PARTITION BY doc_id ORDER BY s) AS run FROM sentences
+  WHERE said IN (SELECT said FROM sentences GROUP BY said HAVING count(*) > 1)
+), long AS (
+  SELECT * FROM (SELECT *, sum(n) OVER (PARTITION BY doc_id, run) AS words FROM again) WHERE words >= {passages.MIN_WORDS}
+), passages AS (
+  SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, s) AS nth FROM long
+), held AS (SELECT doc_id, count(DISTINCT run) AS n_passages FROM passages GROUP BY doc_id),
+cut AS (
+  SELECT t.id, count(*) AS n_cut, any_value(t.n) AS n FROM placed AS t JOIN passages AS p USING (doc_id, s)
+  WHERE nth > 1 GROUP BY t.id
+), kept_words AS (
+  SELECT t.id, string_agg(token, '' ORDER BY i) AS kept FROM placed AS t LEFT JOIN passages AS p USING (doc_id, s)
+  WHERE nth IS NULL OR nth = 1 GROUP BY t.id
+), done AS (
+  SELECT l.doc_id, l.place, gone.id IS NOT NULL AS is_gone, cut.id IS NOT NULL AS is_cut,
+         CASE WHEN gone.id IS NOT NULL OR cut.n_cut = cut.n THEN NULL
+              WHEN cut.id IS NULL THEN line ELSE regexp_extract(line, '^[	
+ ]*') || kept END AS line
+  FROM lines AS l LEFT JOIN gone USING (id) LEFT JOIN cut USING (id) LEFT JOIN kept_words USING (id)
+)
+SELECT doc_id, count(*) AS n_paragraphs, count(*) FILTER (is_gone OR is_cut) AS n_removed,
+       coalesce(any_value(n_passages), 0) AS n_passages,
+       coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (is_gone), '') AS removed,
+       coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (line IS NOT NULL), '') AS text
+FROM done LEFT JOIN held USING (doc_id) GROUP BY doc_id
+""".replace("{LINKS}", LINKS_SQL)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeloom.llm.frames import stored
+from tapeloom.llm.frames import released, stored
 
 #: Items per block on average, and hashes of their sets; a group holds two blocks.
 BLOCK = 1024
@@ -91,7 +91,8 @@ def over_groups(
         for part in grouped(batches, "meet"):
             yield from function(part.combine_chunks())
 
-    return rows.repartition("meet").sortWithinPartitions("meet", "half").mapInArrow(run, schema)
+    dealt = rows.repartition("meet").sortWithinPartitions("meet", "half")
+    return dealt.mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def fixed(column: pa.ChunkedArray, kind: str) -> np.ndarray:

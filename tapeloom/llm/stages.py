@@ -18,30 +18,41 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.filter(F.col("score") >= quality.THRESHOLD).select(COLUMNS)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The documents' columns and a `row_key` of id and text: neither says alone which row it is."""
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    return docs.select(COLUMNS).withColumn("row_key", key)
+
+
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near duplicates; repeated rows once.
+    """Of each class of near duplicates the row with the smallest id, rows without one last.
 
-    Rows without an id name no class and stay.
+    Rows that share an id but no text are documents of their own; repeated rows stay once.
     """
-    classes = near.near_duplicates(docs).filter("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(classes, "doc_id").dropDuplicates(["doc_id"]).select(COLUMNS)
-    return kept.unionByName(docs.filter("doc_id IS NULL").select(COLUMNS))
+    rows = keyed(docs)
+    classes = near.near_duplicates(rows, id_col="row_key").select(F.col("doc_id").alias("row_key"), "class_id").distinct()
+    ids = rows.select("row_key", "doc_id").distinct()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")
+    kept = ids.join(classes, "row_key").groupBy("class_id").agg(first).select("first.row_key")
+    return rows.join(kept, "row_key").dropDuplicates(["row_key"]).select(COLUMNS)
 
 
 def without_repeated_paragraphs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without paragraphs that an earlier document has; a text of which nothing stays goes."""
+    """Texts without paragraphs and passages that an earlier place has; a text of which nothing stays goes."""
     cut = paragraphs.without_repeats(docs.select(COLUMNS))
     return (
-        cut.filter(F.col("_removed").isNull() | (F.col("text") != ""))
-        .withColumn("n_chars", F.when(F.col("_removed").isNull(), F.col("n_chars")).otherwise(F.length("text")))
+        cut.filter((F.col("n_cut") == 0) | (F.col("text") != ""))
+        .withColumn("n_chars", F.when(F.col("n_cut") == 0, F.col("n_chars")).otherwise(F.length("text")))
         .select(COLUMNS)
     )
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
-    found = decontaminate.leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.select(COLUMNS).join(found, "doc_id", "left_anti").select(COLUMNS)
+    """Documents that hold no item of the benchmark; only the rows that hold one go."""
+    rows = keyed(docs)
+    found = decontaminate.leaks(rows, table(spark, sf_dir, "benchmark"), id_col="row_key")
+    found = found.select(F.col("doc_id").alias("row_key")).distinct()
+    return rows.join(found, "row_key", "left_anti").select(COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

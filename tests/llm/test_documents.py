@@ -328,33 +328,135 @@ def test_posterior_bounds():
 # Paragraphs
 
 
-def test_paragraphs_brute_force(spark, copies):
-    rows = [(i, t) for i, t in copies]
-    places = [(i, k, line) for i, t in rows for k, line in enumerate(t.split("\n")) if len(line.split()) >= 5]
+def spoken(text):
+    """(words, line) of each sentence of a text."""
+    out, said = [], []
+    for number, line in enumerate(text.split("\n")):
+        words = line.split()
+        for k, word in enumerate(words):
+            said.append(word)
+            stop = word[-1] in ".!?" and not any(w[-1] in ".!?" for w in words[max(0, k - 3) : k])
+            if stop or k == len(words) - 1:
+                out.append((tuple(said), number))
+                said = []
+    return out
+
+
+def passages_by_hand(rows, least):
+    """(document, text left, lines that lost words, passages) of rows with different ids."""
+    rows = sorted(rows)
+    places = [(i, k, line) for i, t in rows for k, line in enumerate(t.split("\n")) if len(line.split()) >= least]
     _, root = classes_of([shingled(line) for _, _, line in places])
-    gone = collections.defaultdict(set)
-    for k, (number, place, _) in enumerate(places):
-        if root[k] != k:
-            gone[number].add(place)
-    for row in paragraphs.without_repeats(docs(spark, rows)).collect():
-        text = dict(rows)[row.doc_id]
-        assert set(row._removed or []) == gone[row.doc_id]
-        assert row.text == "\n".join(p for k, p in enumerate(text.split("\n")) if k not in gone[row.doc_id])
-        assert row.score == "x" and row.text_key == "y"
+    gone = {(i, k) for n, (i, k, _) in enumerate(places) if root[n] != n}
+    said = {i: spoken(t) for i, t in rows}
+    often = collections.Counter(s for sentences in said.values() for s, _ in sentences)
+    kept_first, out = set(), []
+    for i, text in rows:
+        runs, run = [], []
+        for n, (s, line) in enumerate([*said[i], ((), -1)]):
+            if often[s] > 1:
+                run.append(n)
+                continue
+            if sum(len(said[i][m][0]) for m in run) >= least:
+                runs.append(run)
+            run = []
+        cut = set()
+        for n in [n for r in runs for n in r]:
+            s = said[i][n][0]
+            if s in kept_first:
+                cut.add(n)
+            kept_first.add(s)
+        words = [n in cut for n, (s, _) in enumerate(said[i]) for _ in s]
+        left, lost, at = [], 0, 0
+        for k, line in enumerate(text.split("\n")):
+            parts = re.findall(r"[^\t\v\f\r ]+[\t\v\f\r ]*", line)
+            here = words[at : at + len(parts)]
+            at += len(parts)
+            lost += (i, k) in gone or any(here)
+            if (i, k) not in gone and not (any(here) and all(here)):
+                lead = line[: len(line) - sum(map(len, parts))]
+                left.append(lead + "".join(p for p, c in zip(parts, here) if not c))
+        out.append((i, "\n".join(left), lost, len(runs)))
+    return out
+
+
+@pytest.mark.parametrize("least", [5, 25])
+def test_paragraphs_brute_force(spark, copies, least):
+    rows = [(i, t) for i, t in copies]
+    found = paragraphs.without_repeats(docs(spark, rows), min_words=least).collect()
+    assert sorted((r.doc_id, r.text, r.n_cut, r.n_passages) for r in found) == passages_by_hand(rows, least)
+    assert all(r.score == "x" and r.text_key == "y" for r in found)
+
+
+def prose(rng, words, n):
+    """Sentences of 4 to 15 words, n words in all."""
+    out = []
+    while len(out) < n:
+        k = rng.randint(4, 15)
+        out += [*rng.choices(words, k=k - 1), rng.choice(words) + rng.choice(".!?")]
+    return " ".join(out[:n])
+
+
+def test_passages_inside_different_lines(spark, words):
+    """Passages of over 50 words put between the words of other lines: both holders are named,
+    one copy stays, and texts without one are left alone, short common lines included."""
+    rng = random.Random(13)
+    rows, planted = [], {}
+    for i in range(1, 201):
+        lines = [prose(rng, words, rng.randint(20, 80)) for _ in range(4)]
+        lines.insert(2, "read more about this here")
+        rows.append([i, lines])
+    for n in range(30):
+        passage = prose(rng, words, rng.randint(51, 90))
+        planted[n] = rng.sample(range(200), rng.choice([2, 3, 5]))
+        for at in planted[n]:
+            line = rows[at][1][1].split(" ")
+            middle = rng.randint(1, len(line) - 1)
+            rows[at][1][1] = " ".join([*line[:middle], passage, *line[middle:]])
+    rows = [(i, "\n".join(lines)) for i, lines in rows]
+    found = {r.doc_id: r for r in paragraphs.without_repeats(docs(spark, rows)).collect()}
+    holders = {rows[at][0] for places in planted.values() for at in places}
+    named = {i for i, r in found.items() if r.n_passages}
+    assert len(named & holders) >= 0.95 * len(holders) and not named - holders
+    cut = {i for i, r in found.items() if r.n_cut}
+    later = {rows[at][0] for places in planted.values() for at in sorted(places)[1:]}
+    assert len(cut & later) >= 0.9 * len(later) and not cut - holders
+    assert all(found[i].text == t for i, t in rows if i not in cut)
+    assert sorted((r.doc_id, r.text, r.n_cut, r.n_passages) for r in found.values()) == passages_by_hand(rows, 25)
+
+
+def test_long_text_has_the_same_sentences(monkeypatch):
+    from tapeloom.llm import passages
+
+    rng = random.Random(3)
+    text = "\n".join(prose(rng, ["ab", "cde", "é"], rng.randint(1, 60)) for _ in range(200))
+    whole = [x.tolist() for x in passages.sentences(text)]
+    monkeypatch.setattr(hashing, "BLOCK", 300)
+    assert [x.tolist() for x in passages.sentences(text)] == whole
+    assert len(whole[0]) == len(spoken(text)) and whole[1][-1] == len(text.split())
+    assert [len(x) for x in passages.sentences(None)] == [0, 0] == [len(x) for x in passages.sentences(" \n ")]
+
+
+def test_clashing_names(spark):
+    frame = docs(spark, [(1, "a b c d e f"), (2, "a b c d e f")]).withColumnsRenamed({"item": "places", "score": "_own_id"})
+    frame = frame.withColumn("n_cut", F.lit("x")).withColumn("cut", F.lit("y")).withColumn("removed", F.lit("z"))
+    found = paragraphs.without_repeats(frame, min_words=5)
+    assert sorted((r.doc_id, r.text, r.n_cut, r.cut, r.removed, r._own_id) for r in found.collect()) == [
+        (1, "a b c d e f", 0, "y", "z", "x"), (2, "", 1, "y", "z", "x")]
 
 
 def test_paragraphs_of_eight_and_nine_words(spark):
     """Four shingles of five in common are exactly the threshold."""
     line = "one two three four five six seven eight"
     rows = [(1, line), (2, f"{line} nine"), (3, "a b c d e f g h"), (4, "zero a b c d e f g h"), (5, "p q r s t u v w x"), (6, "p q r s t u v")]
-    found = {r.doc_id: r._removed for r in paragraphs.without_repeats(docs(spark, rows)).collect()}
+    found = {r.doc_id: r.places for r in paragraphs.without_repeats(docs(spark, rows), min_words=5).collect()}
     assert found == {1: None, 2: [0], 3: None, 4: [0], 5: None, 6: None}
 
 
 def test_paragraph_odd_rows(spark):
     line = "a line of five words"
     rows = [*ODD, (8, f"{line}\nshort\n{line}"), (9, f"short\n{line}"), (9, f"short\n{line}")]
-    found = sorted(((r.doc_id or 0, r.text) for r in paragraphs.without_repeats(docs(spark, rows)).collect()), key=str)
+    found = sorted(((r.doc_id or 0, r.text) for r in paragraphs.without_repeats(docs(spark, rows), min_words=5).collect()), key=str)
     expected = [((i or 0), t) for i, t in ODD] + [(8, f"{line}\nshort"), (9, "short"), (9, "short")]
     assert found == sorted(expected, key=str)
     assert paragraphs.without_repeats(docs(spark, [])).collect() == []

@@ -10,10 +10,11 @@ from tapeloom.llm import stages
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, item bigint, _removed string"
 LONG = "unbroken" * 300
+LINE = " ".join(f"word{n}" for n in range(30))
 ROWS = [
     (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n ", "en", None, 3), (4, "one", None, "b", 3),
     (5, "one", "en", "b", 3), (5, "one", "en", "b", 3), (None, "two words", "en", "c", 9), (6, LONG, "en", "d", len(LONG)),
-    (7, "five words in this line\nleft\nfive words in this line", "en", "e", 51), (8, "five words in this line", "en", "e", 23),
+    (7, f"{LINE}\nleft\n{LINE}", "en", "e", 5 + 2 * len(LINE) + 1), (8, LINE, "en", "e", len(LINE)),
 ]
 
 
@@ -38,13 +39,30 @@ def test_near_duplicate_stage(spark, docs):
     assert ids(kept) == [0, 1, 2, 3, 4, 6, 7, 8]
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    """Unlike texts under one id stay both, near ones do not, and copies without an id go."""
+    text = " ".join(f"w{n}" for n in range(100))
+    rows = [(1, "other words than those of the next row"), (1, text), (2, f"{text} more"), (None, text), (None, "alone"), (None, "alone"), (3, "x y z"), (3, "x y z")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), 1, "x") for i, t in rows], SCHEMA)
+    kept = stages.one_of_near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(0, "alone"), (1, rows[0][1]), (1, text), (3, "x y z")])
+
+
+def test_leaks_without_an_id_go_and_namesakes_stay(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, f"before {item} after"), (5, f"{item}"), (5, "a clean text of the same id"), (None, "clean too")]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t), 1, "x") for i, t in rows], SCHEMA)
+    kept = stages.without_benchmark(spark, docs, SF)
+    assert sorted(r.text for r in kept.collect()) == ["a clean text of the same id", "clean too"]
+
+
 def test_paragraph_stage(spark, docs):
     kept = stages.without_repeated_paragraphs(spark, docs, SF)
     assert kept.columns == stages.COLUMNS
     # Nothing is left of document 8; document 7 keeps its first line and the short one.
     assert ids(kept) == [0, 1, 2, 3, 4, 5, 5, 6, 7]
     seven = kept.filter("doc_id = 7").first()
-    assert (seven.text, seven.n_chars, seven.source) == ("five words in this line\nleft", 28, "e")
+    assert (seven.text, seven.n_chars, seven.source) == (f"{LINE}\nleft", len(LINE) + 5, "e")
     assert kept.filter("doc_id = 1").first().n_chars is None
 
 
