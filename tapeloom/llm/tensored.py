@@ -6,9 +6,9 @@ in each, every one of the GROUPS * GROUPS pairs of groups is a table of 2 * HALF
 table if they agree in a group of either collection: a pair at the threshold of 0.85 is missed
 with a chance of 1.5e-4, one at 0.9 with 4e-6, one at 0.95 with 2e-9; copies are never.
 
-Candidates are verified on the full sets. Every member of a bucket is first compared with the
-bucket's smallest one; buckets whose members hang together by verified links are then done,
-and only members of different components of a bucket are compared with each other.
+Candidates are verified on the full sets. Every member of a bucket is first compared with one
+smallest member of its buckets; buckets whose members hang together by verified links are then
+done, and only members of different components of a bucket are compared with each other.
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ GROUPS, HALF = 10, 3
 #: Posterior chance of reaching the threshold below which a pair is not looked up in full.
 TOLERANCE = 1e-6
 BLOCK = 2 << 20
-#: Copies of a bucket's smallest member, so that no task meets all members of a bucket.
-SALTS = 16
+#: Edges of one root that a task compares; a root with more is copied.
+HOT = 1024
 
 
 def text_sets(texts: list[str | None], size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,42 +61,69 @@ def signed(rows: DataFrame, size: int, hashes: int) -> DataFrame:
     )
 
 
-def table_keys(signatures: np.ndarray, half: int) -> np.ndarray:
-    """(items, tables): the keys of all pairs of a left and a right group of values."""
-    left, right = np.hsplit(signatures, 2)
-    left = hashing.band_keys(left, half).view(np.uint64)
-    right = hashing.band_keys(right, half).view(np.uint64)
-    pairs = hashing.mixed(left[:, :, None] * hashing.BASE + right[:, None, :])
-    return pairs.reshape(len(signatures), -1).view(np.int64)
+def group_keys(signatures: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
+    """(items, groups): the keys of the groups of either collection."""
+    left, right = (hashing.band_keys(values, half).view(np.uint64) for values in np.hsplit(signatures, 2))
+    return left, hashing.mixed(right)
 
 
-def tensored(items: DataFrame, half: int, wanted: np.ndarray | None = None) -> DataFrame:
-    """(bucket, item) for every table; with a bitmap, those whose bucket may be in it."""
-    shared = items.sparkSession.sparkContext.broadcast(wanted)
+def table_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """(items, left groups, right groups): the keys of all pairs of a left and a right group."""
+    return hashing.mixed(left[:, :, None] * hashing.BASE + right[:, None, :])
+
+
+def marked(keys: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
+    place = (keys & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+    return (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+
+
+def grouped(items: DataFrame, half: int) -> DataFrame:
+    """(bucket) of every group of either collection."""
+
+    def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys = np.hstack(group_keys(similar.fixed(batch.column("signature"), "<u4"), half))
+        yield pa.record_batch([pa.array(keys.reshape(-1).view(np.int64))], names=["bucket"])
+
+    return arrow_map(items.select("signature"), of, "bucket bigint")
+
+
+def tensored(items: DataFrame, half: int, groups: np.ndarray, tables: np.ndarray | None = None) -> DataFrame:
+    """(bucket, item) for every table whose two groups may be shared, by a bitmap of groups.
+
+    With a bitmap of `tables` too, only those that are in it.
+    """
+    shared = items.sparkSession.sparkContext.broadcast((groups, tables))
 
     def of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys = table_keys(similar.fixed(batch.column("signature"), "<u4"), half)
-        item = np.repeat(batch.column("item").to_numpy(), keys.shape[1])
-        keys, bitmap = keys.reshape(-1), shared.value
-        if bitmap is not None:
-            place = keys & (FILTER_BITS - 1)
-            some = (bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+        groups, tables = shared.value
+        left, right = group_keys(similar.fixed(batch.column("signature"), "<u4"), half)
+        row, i, j = np.nonzero(marked(left, groups)[:, :, None] & marked(right, groups)[:, None, :])
+        keys = table_keys(left, right)[row, i, j]
+        item = batch.column("item").to_numpy()[row]
+        if tables is not None:
+            some = marked(keys, tables)
             keys, item = keys[some], item[some]
-        yield pa.record_batch([pa.array(keys), pa.array(item)], names=["bucket", "item"])
+        yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(item)], names=["bucket", "item"])
 
     return arrow_map(items.select("item", "signature"), of, "bucket bigint, item bigint")
 
 
 def crowded(items: DataFrame, half: int) -> DataFrame:
-    """(bucket, item, members, root) of the buckets of two items or more, equal ones once."""
-    sizes = tensored(items, half).groupBy("bucket").agg(
+    """(bucket, item, members, root) of the buckets of two items or more, equal ones once.
+
+    A document that shares no left or no right group shares no table: groups are counted first,
+    a fifth as many as tables or less, and only pairs of shared groups become keys.
+    """
+    alike = grouped(items, half).groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    groups = bitmap_of(stored(alike.select("bucket"), "shared-groups"), "bucket")
+    sizes = tensored(items, half, groups).groupBy("bucket").agg(
         F.count("*").alias("members"), F.min("item").alias("root"), F.bit_xor(F.xxhash64("item")).alias("print")
     ).filter("members > 1")
     # Close documents meet in most tables: of buckets with the same members one is enough.
     sizes = stored(
         sizes.groupBy("members", "root", "print").agg(F.min("bucket").alias("bucket")).drop("print"), "crowded"
     )
-    return tensored(items, half, bitmap_of(sizes, "bucket")).join(sizes, "bucket")
+    return tensored(items, half, groups, bitmap_of(sizes, "bucket")).join(sizes, "bucket")
 
 
 def sketched(items: DataFrame) -> DataFrame:
@@ -135,14 +162,19 @@ def sets_of(named: DataFrame, rows: DataFrame, size: int) -> DataFrame:
 
 
 def with_both(edges: DataFrame, values: DataFrame) -> DataFrame:
-    """Edges (item, root) with the values of both ends, those of the root as `root_...`."""
-    salt = F.pmod(F.xxhash64("item"), F.lit(SALTS)).cast("int")
+    """Edges (item, root) with the values of both ends, those of the root as `root_...`.
+
+    A root of very many edges goes to as many tasks as it has HOT edges, one copy to each.
+    """
+    hot = edges.groupBy("root").agg(F.count("*").alias("n")).filter(F.col("n") > HOT)
+    hot = hot.select("root", F.ceil(F.col("n") / HOT).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
     names = {c: f"root_{c}" for c in values.columns if c != "item"}
-    roots = edges.select("root").distinct().join(values.withColumnRenamed("item", "root"), "root")
-    roots = roots.withColumnsRenamed(names).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    )
-    return edges.join(values, "item").withColumn("salt", salt).join(roots, ["root", "salt"])
+    roots = edges.select("root").distinct().join(hot, "root", "left")
+    roots = roots.join(values.withColumnRenamed("item", "root"), "root").withColumnsRenamed(names)
+    roots = roots.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    salted = edges.join(hot, "root", "left").withColumn("salt", F.pmod(F.xxhash64("item"), salts).cast("int"))
+    return salted.drop("salts").join(values, "item").join(roots, ["root", "salt"])
 
 
 def worth_a_look(edges: DataFrame, sketches: DataFrame, threshold: float, least: int) -> DataFrame:
@@ -238,7 +270,9 @@ def near_duplicates(
     sketches = stored(sketched(members), "tensored-sketches")
 
     stars = buckets.filter("item <> root").select("item", "root").distinct()
-    stars = stored(worth_a_look(stars, sketches, threshold, least), "tensored-stars")
+    # One look a member: what other buckets' roots would link is found between components.
+    stars = worth_a_look(stars, sketches, threshold, least).groupBy("item").agg(F.min("root").alias("root"))
+    stars = stored(stars, "tensored-stars")
     ends = stars.select("item").unionByName(stars.select(F.col("root").alias("item"))).distinct()
     named = items.select("item", "text_key")
     sets = stored(sets_of(named.join(ends, "item", "left_semi"), rows, size), "tensored-sets")
