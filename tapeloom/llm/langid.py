@@ -270,22 +270,21 @@ def train(
 ) -> Model | None:
     """The models of the languages named in `lang_col`; None if there is no labelled text.
 
-    Of each language, about `per_language` rows with a text of at most `max_chars` characters
-    are read, by the hash of their id (all, if there are fewer); a quarter of them calibrates.
+    Of each language, about `per_language` rows are read, by the hash of their id (all, if there
+    are fewer), of a longer text the first `max_chars` characters; a quarter of them calibrates.
     What comes to the driver is bounded by these two parameters and the number of languages.
     """
     rows = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
     if usable is not None:
         rows = rows.filter(usable)
-    rows = rows.filter(
-        F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= max_chars)
-    )
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
         return None
     share = F.create_map(*[F.lit(v) for g, n in sizes.items() for v in (g, min(1.0, per_language / n))])
     draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "text"), F.lit(1_000_003)) / 1_000_003
-    sample = rows.select("lang", "text", draw.alias("draw"), F.element_at(share, F.col("lang")).alias("share"))
+    read = F.substring("text", 1, max_chars).alias("text")
+    sample = rows.select("lang", read, draw.alias("draw"), F.element_at(share, F.col("lang")).alias("share"))
     sample = sample.filter("draw < share")
     fit = sample.filter("draw < share * 0.75").select("lang", "text")
     grouped: dict[str, list] = {}

@@ -325,6 +325,22 @@ def test_posterior_bounds():
     assert (hits[:, 7::8] >= least[8::8]).all(axis=1).mean() > 0.999
 
 
+# Long texts of a language
+
+
+def test_language_of_long_texts_only(spark):
+    """A language whose labelled texts are all long is learned like any other."""
+    rng = random.Random(2)
+    english, french = "the and of that with this from have they which".split(), "les des une dans pour avec sont mais pas qui".split()
+    rows = [(i, " ".join(rng.choices(english, k=5000)), "en") for i in range(20)]
+    rows += [(100 + i, " ".join(rng.choices(french, k=20)), "fr") for i in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = langid.train(frame)
+    assert model.languages == ["en", "fr"]
+    found = {r.doc_id: r.lang_pred for r in langid.identify(frame, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
 # Paragraphs
 
 
