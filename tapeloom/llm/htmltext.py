@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tapeloom.llm.frames import arrow_map, pick, stored, table
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:-->|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
@@ -58,6 +58,13 @@ MAIN_WORDS = {"main", "article", "articlebody"}
 SHARE_OF_PAGES = 0.5
 #: Fewer pages with a block in common may as well be near copies of one page.
 LEAST_PAGES = 3
+#: A marked element with this share of the largest container's text is the main slot.
+MARKED_SHARE = 0.2
+#: Blocks that pages share are the page's own where taking them out would leave less than this
+#: share of the main part: of one that is marked, and of any other.
+LEFT_OF_MARKED, LEFT_OF_ANY = 0.5, 0.25
+#: Elements that a path names; what is nested deeper belongs to the last of them.
+DEEPEST = 200
 
 
 def named(tag: str, attributes: str) -> tuple[str, bool, bool, bool]:
@@ -101,7 +108,8 @@ def parsed(page: str) -> list[tuple[tuple[str, ...], bool, int, str | None]]:
         path, off, main = outside if e.parent < 0 else states[e.parent]
         if main < 0 and e.main and not off:
             main = len(path)
-        states.append(((*path, e.label), off or e.dropped or off_by_name, main))
+        path = (*path, e.label) if len(path) < DEEPEST else path
+        states.append((path, off or e.dropped or off_by_name, main))
     return [(*(outside if at < 0 else states[at]), text) for at, text in events]
 
 
@@ -314,7 +322,8 @@ def main_slot(classes: list[dict] | None) -> str | None:
 
     Containers are elements found once a page. The text of every other element, repeated and
     optional ones included, belongs to the nearest container around it. A container that marks
-    the main text by name is given all that it encloses.
+    the main text by name is given all that it encloses, and goes before larger ones that do not
+    (reader comments outgrow many an article) unless it holds next to nothing.
     """
     marked = {path for c in classes or [] for path, main in zip(c["paths"], c["mains"]) if main}
     inside = {
@@ -330,6 +339,9 @@ def main_slot(classes: list[dict] | None) -> str | None:
             own["/".join(above)] -= size
     own |= {path: size for path, size in inside.items() if path in marked}
     best = max(own, key=lambda path: (own[path], path), default=None)
+    named_best = max(marked & own.keys(), key=lambda path: (own[path], path), default=None)
+    if named_best is not None and own[named_best] >= MARKED_SHARE * own[best]:
+        best = named_best
     return best if best is not None and own[best] > 0 else None
 
 
@@ -338,20 +350,27 @@ def main_text(page: str, slot: str | None, constant: frozenset[int] = frozenset(
 
     The main part is the slot, or the elements in it that mark the main text, if those have at
     least half of its text. A page that has nothing in the slot gives its marked elements, or
-    all. A page of constant blocks only keeps them.
+    all. Where the constant blocks are most of the main part, near copies share the article
+    itself, and all of it stays.
     """
     found = []
     for path, off, main, text in parsed(page):
         if text is not None and not off:
             found.append((slot is not None and ("/".join(path) + "/").startswith(slot + "/"), main >= 0, text,
                           bool(constant) and block_key(path, text) in constant))
-    left = [b for b in found if not b[3]] or found
-    part = [b for b in left if b[0]]
+    part = [b for b in found if b[0]]
     if part:
         marked = [b for b in part if b[1]]
-        if 2 * sum(len(b[2]) for b in marked) >= sum(len(b[2]) for b in part):
+        if 2 * characters(marked) >= characters(part):
             part = marked
-    return "\n\n".join(b[2] for b in part or [b for b in left if b[1]] or left)
+    part = part or [b for b in found if b[1]] or found
+    left = [b for b in part if not b[3]]
+    least = LEFT_OF_MARKED if all(b[1] for b in part) else LEFT_OF_ANY
+    return "\n\n".join(b[2] for b in (left if characters(left) >= least * characters(part) else part))
+
+
+def characters(blocks: list[tuple]) -> int:
+    return sum(len(b[2]) for b in blocks)
 
 
 def extract(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 
 import duckdb
 import pytest
@@ -107,6 +108,38 @@ def test_template_goes_before_the_article_element(spark):
     assert found == {k: f"Title {k}\n\n{'text ' * 9}{k}" for k in range(4)} | {10 + k: f"{'text ' * 9}{k}" for k in range(4)}
 
 
+def test_near_copies_keep_their_article(spark):
+    """Pages of a host that share all but a line are near copies; what they share is the article."""
+    article = "".join(f"<p>{'word ' * 12}{n}</p>" for n in range(5))
+    body = [f"{'word ' * 12}{n}".strip() for n in range(5)]
+    rows, want = [], {}
+    for size in range(3, 11):
+        for k in range(size):
+            rows.append((size * 100 + k, f"http://n{size}.example/{k}", f"<body><div class='box'>{article}<p>Updated at {k}</p></div></body>"))
+            want[size * 100 + k] = "\n\n".join([*body, f"Updated at {k}"])
+            rows.append((5000 + size * 100 + k, f"http://m{size}.example/{k}", f"<body><article>{article}<p>Updated at {k}</p></article><div>x</div></body>"))
+            want[5000 + size * 100 + k] = want[size * 100 + k]
+    assert {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()} == want
+
+
+def test_comments_do_not_outweigh_the_article(spark):
+    rows = [(k, f"http://c.example/{k}", f"<body><article><h1>Title {k}</h1><p>{'text ' * 20}{k}</p></article>"
+             f"<div class='feedback'>{''.join(f'<p>opinion {n} of {k} {chr(97 + n) * 30}</p>' for n in range(6))}</div></body>")
+            for k in range(5)]
+    found = {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()}
+    assert found == {k: f"Title {k}\n\n{'text ' * 20}{k}" for k in range(5)}
+
+
+def test_deep_and_odd_markup(spark):
+    """Very deep pages lose no text and take no time that grows with the square of their depth."""
+    deep = "<div>" * 30_000 + "bottom" + "<p>after"
+    rows = [(1, "http://d.example/1", deep), (2, "http://e.example/1", "<!-->kept<!--->too<!-- not --> end")]
+    start = time.time()
+    found = {r.page_id: r.text for r in htmltext.extract(pages(spark, rows)).collect()}
+    assert found == {1: "bottom\n\nafter", 2: "kepttoo end"}
+    assert time.time() - start < 60
+
+
 def test_wrappers_named_as_boilerplate(spark):
     """A name alone drops no element around the article, and still drops comments and adverts."""
     text, aside = "text " * 9, "<div class='comments'><p>first</p></div><div class='ad'>buy</div>"
