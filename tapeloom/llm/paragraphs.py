@@ -290,8 +290,8 @@ cut AS (
  ]*') || kept END AS line
   FROM lines AS l LEFT JOIN gone USING (id) LEFT JOIN cut USING (id) LEFT JOIN kept_words USING (id)
 )
-SELECT doc_id, count(*) AS n_paragraphs, count(*) FILTER (is_gone OR is_cut) AS n_removed,
-       coalesce(any_value(n_passages), 0) AS n_passages,
+SELECT doc_id, coalesce(any_value(n_passages), 0) AS n_passages,
+       count(*) AS n_paragraphs, count(*) FILTER (is_gone OR is_cut) AS n_removed,
        coalesce(string_agg(CAST(place AS VARCHAR), ',' ORDER BY place) FILTER (is_gone), '') AS removed,
        coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (line IS NOT NULL), '') AS text
 FROM done LEFT JOIN held USING (doc_id) GROUP BY doc_id
