@@ -36,7 +36,8 @@ def test_quality_stage(spark, docs):
 def test_near_duplicate_stage(spark, docs):
     kept = stages.one_of_near_duplicates(spark, docs, SF)
     assert kept.columns == stages.COLUMNS
-    assert ids(kept) == [0, 1, 2, 3, 4, 6, 7, 8]
+    # Document 8 is the line that document 7 has twice: 26 of 31 shingles in common.
+    assert ids(kept) == [0, 1, 2, 3, 4, 6, 7]
 
 
 def test_rows_of_one_id_are_told_apart(spark):
