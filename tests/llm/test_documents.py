@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -241,6 +243,55 @@ def test_quality_with_little_to_learn(spark):
     assert quality.score(docs(spark, ODD), nothing).first().score == 0.5
 
 
+def quality_rows(words, size):
+    """Labelled texts, all of `size` words: good ones of the first words, bad ones of the last."""
+    rng = random.Random(3)
+    kinds = {1: words[:150], 0: words[250:]}
+    return [(2 * i + q, " ".join(rng.choices(kinds[q], k=size)), q) for i in range(60) for q in (0, 1)]
+
+
+def test_quality_by_brute_force(spark, words):
+    """Each score is the curve at the two compressed sizes, computed text by text."""
+    rows = quality_rows(words, 120)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    model = quality.train(frame, frame)
+    held_out = quality_rows(words[::-1], 40)[:30] + [(-1, "", 0), (-2, None, 0), (-3, "é " * 70_000, 0)]
+    found = {r.doc_id: r for r in quality.score(spark.createDataFrame(held_out, frame.schema), model).collect()}
+    assert len(found) == len(held_out)
+    for doc_id, text, _ in held_out:
+        raw = (text or "").encode()
+        bad, good = (
+            len(zstandard.ZstdCompressor(level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(known),
+                                         write_content_size=False, write_dict_id=False).compress(raw))
+            for known in (model.bad, model.good)
+        )
+        n = max(len(raw), 1)
+        x = [(bad - good) / n, (bad - good) / (bad + good), min(bad, good) / n, (min(bad, good) / n) ** 2,
+             math.log(n), math.log(n) ** 2]
+        z = model.bias + sum(w * (v - c) / s for w, v, c, s in zip(model.slope, x, model.centre, model.scale))
+        assert found[doc_id].score == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-9)
+        assert found[doc_id].gap == pytest.approx(x[0])
+
+
+def test_quality_of_long_texts_only(spark, words):
+    """Labelled texts that are all over the bound teach by their beginning."""
+    rows = quality_rows(words, 120)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, quality int")
+    scores = quality.score(frame, quality.train(frame, frame, max_chars=300)).collect()
+    good, bad = ([r.score for r in scores if r.doc_id % 2 == q] for q in (1, 0))
+    assert np.mean([g > b for g in good for b in bad]) > 0.99
+
+
+def test_quality_with_repeated_ids_and_labels(spark, words):
+    """Rows that share an id teach by the least text, whatever their order and copies."""
+    rows = quality_rows(words, 60)
+    more = [(i, "~ other " + t, q) for i, t, q in rows] + rows[::3]
+    schema = "doc_id bigint, text string, quality int"
+    once = spark.createDataFrame(rows, schema)
+    again = spark.createDataFrame((rows + more)[::-1], schema).repartition(7)
+    assert quality.train(again, again, per_label=40) == quality.train(once, once, per_label=40)
+
+
 # Near duplicates
 
 
