@@ -72,17 +72,25 @@ def features(texts: list[str], bad: bytes, good: bytes) -> np.ndarray:
 
 
 def fitted(x: np.ndarray, y: np.ndarray) -> tuple:
-    """Logistic regression by Newton steps with a light ridge."""
+    """Logistic regression by Newton steps with a light ridge, halved until the loss falls."""
     centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     z = np.column_stack(((x - centre) / scale, np.ones(len(x))))
     w = np.zeros(z.shape[1])
     ridge = np.full(len(w), 1e-2)
     ridge[-1] = 1e-6
-    for _ in range(40):
+
+    def loss(w: np.ndarray) -> float:
+        at = z @ w
+        return float((np.logaddexp(0, at) - y * at).sum() + (ridge * w * w).sum() / 2)
+
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         gradient = z.T @ (p - y) + ridge * w
-        step = np.linalg.solve((z * (p * (1 - p) + 1e-6)[:, None]).T @ z + np.diag(ridge), gradient)
-        w -= np.clip(step, -2, 2)
+        step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(ridge), gradient)
+        part, now = 1.0, loss(w)
+        while part > 1e-6 and loss(w - part * step) > now:
+            part /= 2
+        w = w - part * step
     return tuple(centre), tuple(scale), tuple(w[:-1]), float(w[-1])
 
 

@@ -273,6 +273,19 @@ def test_quality_by_brute_force(spark, words):
         assert found[doc_id].gap == pytest.approx(x[0])
 
 
+def test_quality_curve_is_at_its_optimum():
+    """On nearly separable columns that say nearly the same the fit ends where its gradient vanishes."""
+    rng = np.random.default_rng(5)
+    y = np.repeat([0.0, 1.0], [700, 2000])
+    g = np.where(y == 1, rng.normal(0.12, 0.03, len(y)), -np.abs(rng.normal(0, 0.02, len(y))))
+    x = np.column_stack((g, 3 * g + rng.normal(0, 0.01, len(y)), np.abs(g), np.abs(3 * g)))
+    centre, scale, slope, bias = quality.fitted(x, y)
+    z = (x - np.array(centre)) / np.array(scale)
+    p = 1 / (1 + np.exp(-(z @ np.array(slope) + bias)))
+    assert np.abs(z.T @ (p - y) + 1e-2 * np.array(slope)).max() < 1e-3
+    assert ((p >= quality.THRESHOLD) == (y == 1)).mean() > 0.99
+
+
 def test_quality_of_long_texts_only(spark, words):
     """Labelled texts that are all over the bound teach by their beginning."""
     rows = quality_rows(words, 120)
