@@ -579,6 +579,22 @@ def test_substrings_long_texts_in_blocks(spark, copies, monkeypatch):
     assert substrings.without_repeats(docs(spark, [])).collect() == []
 
 
+def test_substrings_query_gives_the_text_left(spark, tmp_path):
+    """Passages of over 50 words: one of 400 bytes goes from all its holders, a shorter one stays."""
+    long, short, tail = (" ".join(f"{c}{i:03}{'x' * wide}" for i in range(60)) for c, wide in (("l", 3), ("s", 1), ("t", 3)))
+    assert len(long) >= 400 > len(short) + 20
+    rows = [(1, f"one <{long}> end"), (2, f"two [{long}] end"), (3, f"three <{short}>"), (4, f"four [{short}]"),
+            (5, f"A\u00e9{tail}"), (6, f"B\u00a9{tail}"), (7, None), (8, "clean")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = sorted(substrings.op2_substring_dedup(spark, str(tmp_path)).collect())
+    expected = {n: (kept, removed, spans) for n, kept, _, removed, spans in cut_by_hand(rows, 400)}
+    assert {r.doc_id: (r.n_removed, r.n_spans) for r in found} == {n: e[1:] for n, e in expected.items()}
+    assert [r.kept_sha256 for r in found] == [hashlib.sha256(expected[r.doc_id][0]).hexdigest() for r in found]
+    assert {r.doc_id: r.text for r in found} == {n: e[0].decode("utf-8", "replace") for n, e in expected.items()}
+    assert [r.text for r in found[:4]] == ["one <> end", "two [] end", *(t for _, t in rows[2:4])]
+    assert [r.text for r in found[4:]] == ["A\ufffd", "B\ufffd", "", "clean"]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(alphabet="ab", max_size=14), min_size=1, max_size=9), st.sampled_from([2, 4, 7, 8]))
 def test_merged_transforms(strings, depth):
