@@ -579,6 +579,18 @@ def test_substrings_long_texts_in_blocks(spark, copies, monkeypatch):
     assert substrings.without_repeats(docs(spark, [])).collect() == []
 
 
+def test_substrings_periods(spark):
+    """A short period is one row a text, however often it comes, and goes to its last window."""
+    rows = [(1, "x" + "abcdefghi" * 300), (2, "y" + "abcdefghi" * 300 + "z"), (3, "a" * 1500), (4, "abcdefgh" * 60 + "q"),
+            (5, "ab" * 200), (6, ("ab" * 200)[1:] + "c"), (7, "one two three")]
+    runs = substrings.runs_of(docs(spark, rows).select("doc_id", "text", F.xxhash64("text").alias("text_key")), 400, 128)
+    held = runs.groupBy("doc_id", "key", "low", "high", "whole").count().groupBy("doc_id").agg(F.sum("count"), F.max("count"))
+    held = {number: (rows, most) for number, rows, most in held.collect()}
+    assert {most for _, most in held.values()} == {1} and max(n for n, _ in held.values()) < 10
+    found = substrings.without_repeats(docs(spark, rows))
+    assert sorted((r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in found.collect()) == cut_by_hand(rows, 400)
+
+
 def test_substrings_query_gives_the_text_left(spark, tmp_path):
     """Passages of over 50 words: one of 400 bytes goes from all its holders, a shorter one stays."""
     long, short, tail = (" ".join(f"{c}{i:03}{'x' * wide}" for i in range(60)) for c, wide in (("l", 3), ("s", 1), ("t", 3)))
